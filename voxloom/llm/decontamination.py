@@ -64,9 +64,9 @@ def anchors(items: DataFrame, frequencies: DataFrame, window: int = WINDOW) -> D
 
 
 def phrase_hits(docs: DataFrame, anchor_rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Alignments that hold at least one whole window: doc columns of ``docs`` but words, item_id, hits (places from 1).
+    """Alignments: doc columns of ``docs`` but words, item_id, hits (places from 1 in whole windows; without any, item_id is null).
 
-    ``docs`` has a column words; a row with item_id and hits null stands for each document itself.
+    ``docs`` has a column words; a row where exists is true stands for each document itself.
     """
     sentinel = docs.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(True).alias("exists"))
     listed = anchor_rows.withColumn("exists", F.lit(False)).unionByName(sentinel, allowMissingColumns=True)
@@ -79,10 +79,10 @@ def phrase_hits(docs: DataFrame, anchor_rows: DataFrame, window: int = WINDOW) -
     if window > 1:  # an item shorter than a window is one window
         short = F.expr("if(shift >= 0 and slice(words, shift + 1, size(item)) = item, array(0), array())")
         fits = F.when(F.size("item") < window, short).otherwise(fits)
-    met = met.withColumn("starts", F.when(~F.col("exists"), fits))
-    met = met.where(F.col("exists") | (F.size("starts") > 0)).withColumn("n", size)
+    # no filter on starts: as a part of the join it would keep the join from being compiled
+    met = met.select("*", F.when(~F.col("exists"), fits).alias("starts"), size.alias("n"))
     hits = F.array_distinct(F.flatten(F.expr("transform(starts, s -> sequence(shift + s + 1, shift + s + n))")))
-    return met.select(*kept, "item_id", "exists", hits.alias("hits"))
+    return met.select(*kept, F.when(F.size("starts") > 0, F.col("item_id")).alias("item_id"), "exists", hits.alias("hits"))
 
 
 def _blocks(anchor_rows: DataFrame) -> list[DataFrame]:
