@@ -1,4 +1,274 @@
-"""All queries of the library and their SQL twins."""
+"""All queries of the library and their SQL twins (DuckDB), over the driver's tables with synthetic annotations."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as tx
+from ..operators import listing, packs, pairing, stages
+from ..operators import reject as rj
+from . import synthetic as syn
+
+_REJECT = ("key", "reject_stage", "reject_code", "reject_value")
+
+
+def duration_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return stages.duration_filter(syn.samples(spark, sf)).select(*_REJECT, "duration")
+
+
+def _judged(spark: SparkSession, sf: str) -> DataFrame:
+    df = stages.duration_filter(syn.samples(spark, sf))
+    df = stages.quality_filter(syn.with_quality(df), min_pq=6.0)
+    return stages.speaker_filter(syn.with_segments(df))
+
+
+def drop_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return rj.counters(_judged(spark, sf))
+
+
+def quality_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return stages.quality_filter(syn.with_quality(syn.samples(spark, sf)), 6.0, 3.0, 4.0, 6.5).select(*_REJECT)
+
+
+def speaker_filter(spark: SparkSession, sf: str) -> DataFrame:
+    df = stages.speaker_filter(syn.with_segments(syn.samples(spark, sf)))
+    return df.select(*_REJECT, F.col("diarization.num_speakers").alias("num_speakers"), F.try_element_at("diarization.speaker_seconds", F.lit("speaker_1")).alias("speaker_1_sec"))
+
+
+def transcript_filter(spark: SparkSession, sf: str) -> DataFrame:
+    df = syn.with_transcript(syn.samples(spark, sf)).withColumn("before", F.col("text"))
+    errors = tx.edit_distance(tx.to_units(F.col("before"), True), tx.to_units(F.col("transcript.text"), True))
+    df = stages.transcript_filter(df, 0.2, phonetic=False, compatible=True)
+    return df.select("key", "reject_code", errors.alias("errors"), F.size(tx.to_units(F.col("before"), True)).alias("n_units"), F.col("orig_text").isNotNull().alias("adopted"), F.md5("text").alias("text_md5"))
+
+
+def text_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    df = syn.samples(spark, sf).withColumn("rewrite", F.regexp_replace("text", "[0-9%$]", ""))
+    df = stages.text_rewrite(df)
+    return df.select("key", F.col("tn.unchanged").alias("unchanged"), (F.col("tn.text_before").isNotNull()).alias("rewritten"), F.md5("text").alias("text_md5"))
+
+
+def pause_filter(spark: SparkSession, sf: str) -> DataFrame:
+    df = stages.pause_filter(syn.with_alignment(syn.samples(spark, sf)))
+    return df.select(*_REJECT, F.col("pause.head_silence").alias("head"), F.col("pause.tail_silence").alias("tail"))
+
+
+def edge_trim(spark: SparkSession, sf: str) -> DataFrame:
+    df = stages.apply_trim(stages.trim_plan(syn.with_alignment(syn.samples(spark, sf))))
+    return df.select("key", F.col("trim").isNotNull().alias("trimmed"), F.col("trim.cut_head").alias("cut_head"), F.col("trim.cut_tail").alias("cut_tail"), F.col("trim.pad_head").alias("pad_head"), F.col("trim.pad_tail").alias("pad_tail"), "duration", F.get("alignment", F.lit(0))["start"].alias("first_start"))
+
+
+def pause_punctuation(spark: SparkSession, sf: str) -> DataFrame:
+    df = syn.with_alignment(syn.samples(spark, sf))
+    df = stages.pause_punctuation(df.withColumn("text", F.array_join(F.transform("alignment", lambda x: x["text"]), "")))
+    return df.select("key", F.coalesce("punct_fix.n_inserted", F.lit(0)).alias("n_inserted"), "text")
+
+
+def text_units(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf}/conversations.parquet")
+    units = tx.to_units(F.col("text"), True)
+    return rows.select("conv_id", "turn", F.size(units).alias("n_units"), F.md5(F.array_join(units, " ")).alias("units_md5"))
+
+
+def language_names(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", tx.language_name(F.upper("lang")).alias("language"))
+
+
+def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source"), spark.read.parquet(f"{sf}/labels.parquet")
+
+
+def pair_join(spark: SparkSession, sf: str) -> DataFrame:
+    return pairing.pair(*_sides(spark, sf), ["doc_id"]).select("doc_id", "source", "quality", "toxic")
+
+
+def unpaired(spark: SparkSession, sf: str) -> DataFrame:
+    return pairing.unpaired(*_sides(spark, sf), ["doc_id"])
+
+
+def shard_limit(spark: SparkSession, sf: str) -> DataFrame:
+    return pairing.shard_limit(syn.samples(spark, sf), 7).select("shard", "key")
+
+
+def worker_partition(spark: SparkSession, sf: str) -> DataFrame:
+    return pairing.assign_workers(syn.samples(spark, sf), 3)
+
+
+def resume(spark: SparkSession, sf: str) -> DataFrame:
+    shards = syn.samples(spark, sf).select("shard").distinct()
+    return pairing.pending(shards, shards.where("shard like '%1'"))
+
+
+def _shards(spark: SparkSession, sf: str) -> DataFrame:
+    return syn.samples(spark, sf).groupBy(F.col("shard").alias("name")).agg(F.sum("n_chars").alias("size"), F.count("*").alias("n"))
+
+
+def _limit(spark: SparkSession, sf: str) -> int:
+    return int(_shards(spark, sf).agg(F.expr("sum(size) div 7")).first()[0])
+
+
+def pack_greedy(spark: SparkSession, sf: str) -> DataFrame:
+    return packs.build_packs(_shards(spark, sf), _limit(spark, sf))
+
+
+def pack_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    shards = _shards(spark, sf)
+    found = packs.manifest(packs.build_packs(shards, _limit(spark, sf)), shards.select("name", "n"))
+    return found.select("pack_id", F.array_join("files", ",").alias("files"), "num_samples")
+
+
+def _rows(spark: SparkSession, sf: str) -> DataFrame:
+    df = _judged(spark, sf)
+    wer = F.when(F.col("doc_id") % 7 != 0, syn.ms("doc_id * 37 % 400"))
+    asr = F.struct(F.reverse(F.substring("text", 1, 12)).alias("text"), wer.alias("wer"))
+    return df.withColumns({"asr": asr, "stage": F.col("reject_stage"), "passed": rj.alive(), "orig_text": F.when(F.col("doc_id") % 5 == 0, F.reverse("text")), "alignment": F.expr("cast(null as array<struct<text:string,start:double,end:double>>)")})
+
+
+def corpus_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return listing.summary(_rows(spark, sf))
+
+
+def drops_by_stage(spark: SparkSession, sf: str) -> DataFrame:
+    return listing.by_stage(_rows(spark, sf))
+
+
+def listing_search(spark: SparkSession, sf: str) -> DataFrame:
+    return listing.listing(listing.select_rows(_rows(spark, sf), False, "duration", "THE AND")).select("shard", "key", "n_aligned")
+
+
+def listing_wer_page(spark: SparkSession, sf: str) -> DataFrame:
+    rows = listing.select_rows(_rows(spark, sf), True)
+    return listing.page(rows, listing.sort_order("wer", True), 1).select("shard", "key", F.col("asr.wer").alias("wer"))
+
+
+def listing_quality_page(spark: SparkSession, sf: str) -> DataFrame:
+    rows = listing.select_rows(_rows(spark, sf), False)
+    return listing.page(rows, listing.sort_order("quality", False), 0).select("shard", "key")
+
+
+def listing_last_page(spark: SparkSession, sf: str) -> DataFrame:
+    rows = listing.select_rows(_rows(spark, sf), True)
+    return listing.page(rows, listing.sort_order("duration", True), 10**6).select("shard", "key", "duration")
+
+
+def listing_other_text(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _rows(spark, sf)
+    return rows.select("key", F.md5(listing.other_text(rows)).alias("other_md5"))
+
+
+def row_detail(spark: SparkSession, sf: str) -> DataFrame:
+    return listing.detail(_rows(spark, sf), "src3", "3").select("key", "shard", "stage", "duration")
+
+
+def shard_log(spark: SparkSession, sf: str) -> DataFrame:
+    from ..sources.sinks import shard_log as log
+
+    return log(spark, _judged(spark, sf)).select("shard", "n_in", "n_out")
+
+
+def event_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """The window form of the pause measure: the longest gap between a user's events, in microseconds."""
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    events = spark.read.parquet(f"{sf}/events.parquet").select("user_id", "event_id", "ts")
+    gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.lag(F.unix_micros(F.col("ts").cast("timestamp"))).over(order)
+    return events.withColumn("gap", gap).groupBy("user_id").agg(F.count("*").alias("n"), F.max("gap").alias("max_gap_us"))
+
+
+QUERIES = {f.__name__: f for f in (
+    duration_filter, drop_counts, quality_filter, speaker_filter, transcript_filter, text_rewrite, pause_filter, edge_trim, pause_punctuation, text_units, language_names,
+    pair_join, unpaired, shard_limit, worker_partition, resume, pack_greedy, pack_manifest, corpus_summary, drops_by_stage, listing_search, listing_wer_page,
+    listing_quality_page, listing_last_page, listing_other_text, row_detail, shard_log, event_gaps,
+)}
+
+_SAMPLES = r"""
+s AS (SELECT source AS shard, doc_id AS ord, doc_id::VARCHAR AS key, text, lang, doc_id, n_chars, (doc_id * 7919 % 35000)::DOUBLE / 1000 AS duration FROM documents)
+"""
+_DURATION = r"""
+d AS (SELECT *, CASE WHEN text IS NULL OR NOT regexp_matches(text, '[^\s]') THEN 'empty_text' WHEN duration < 2 THEN 'too_short' WHEN duration > 30 THEN 'too_long' END AS code FROM s)
+"""
+_JUDGED = (
+    _SAMPLES + "," + _DURATION + r"""
+, q AS (SELECT *, CASE WHEN code IS NOT NULL THEN 'duration' WHEN (3000 + doc_id * 7 % 6000)::DOUBLE / 1000 < 6 THEN 'audiobox' END AS stage1 FROM d),
+seg AS (SELECT doc_id, who, sum(sec) AS sec FROM (
+  SELECT doc_id, k AS who, (floor((k + (doc_id * (k * 7 + 3) % 300)::DOUBLE / 100) * 100 + 0.5) / 100) - k AS sec FROM s, (SELECT unnest([0, 1, 2]) AS k) WHERE k <= doc_id % 3) GROUP BY ALL),
+spk AS (SELECT doc_id, count(*) FILTER (WHERE sec >= 0.5) AS n FROM seg GROUP BY doc_id),
+j AS (SELECT q.*, coalesce(stage1, CASE WHEN spk.n > 1 THEN 'multi_speaker' END) AS stage, spk.n AS n_speakers,
+      CASE WHEN doc_id % 7 <> 0 THEN (doc_id * 37 % 400)::DOUBLE / 1000 END AS wer, reverse(substr(text, 1, 12)) AS heard,
+      CASE WHEN doc_id % 5 = 0 THEN reverse(text) END AS orig_text FROM q JOIN spk USING (doc_id))
+"""
+)
+_TOKENS = r"list_slice(list_filter(string_split_regex(text, '[ \n]+'), lambda x: x <> ''), 1, 40)"
+_ALIGNED = (
+    _SAMPLES + rf"""
+, tok AS (SELECT *, {_TOKENS} AS w FROM s),
+al AS (SELECT *, list_transform(generate_series(0, len(w) - 1), lambda i: (doc_id * 31 % 1500 + i * 400 + (doc_id * 17 + i * i * 91) % 1300)) AS st,
+       (doc_id * 31 % 1500 + len(w) * 400 + doc_id * 3 % 2500)::DOUBLE / 1000 AS dur FROM tok)
+"""
+)
+_UNITS = r"list_filter(string_split(trim(regexp_replace(replace(trim(lower(regexp_replace({0}, '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))), '_', ' '), '\s+', ' ', 'g')), ' '), lambda x: x <> '')"
+
+SQL = {
+    "duration_filter": f"WITH {_SAMPLES}, {_DURATION} SELECT key, CASE WHEN code IS NOT NULL THEN 'duration' END AS reject_stage, code AS reject_code, CASE WHEN code IN ('too_short', 'too_long') THEN duration END AS reject_value, duration FROM d",
+    "drop_counts": f"WITH {_JUDGED} SELECT 'input' AS name, count(*)::BIGINT AS n FROM j UNION ALL SELECT 'output', count(*) FILTER (WHERE stage IS NULL) FROM j UNION ALL SELECT 'drop:' || stage, count(*) FROM j WHERE stage IS NOT NULL GROUP BY stage",
+    "quality_filter": f"""WITH {_SAMPLES}, a AS (SELECT key, (3000 + doc_id * 7 % 6000)::DOUBLE / 1000 AS pq, (2000 + doc_id * 11 % 6000)::DOUBLE / 1000 AS ce, (2500 + doc_id * 13 % 6000)::DOUBLE / 1000 AS cu, (1000 + doc_id * 17 % 6000)::DOUBLE / 1000 AS pc FROM s),
+        b AS (SELECT *, CASE WHEN pq < 6 THEN 'PQ' WHEN ce < 3 THEN 'CE' WHEN cu < 4 THEN 'CU' WHEN pc > 6.5 THEN 'PC' END AS axis FROM a)
+        SELECT key, CASE WHEN axis IS NOT NULL THEN 'audiobox' END AS reject_stage, 'audiobox_' || axis AS reject_code, CASE axis WHEN 'PQ' THEN pq WHEN 'CE' THEN ce WHEN 'CU' THEN cu WHEN 'PC' THEN pc END AS reject_value FROM b""",
+    "speaker_filter": f"""WITH {_JUDGED} SELECT s.doc_id::VARCHAR AS key, CASE WHEN n > 1 THEN 'multi_speaker' END AS reject_stage, CASE WHEN n > 1 THEN 'multi_speaker' END AS reject_code, CASE WHEN n > 1 THEN n::DOUBLE END AS reject_value, n::INTEGER AS num_speakers,
+        (SELECT round(any_value(sec), 2) FROM seg WHERE seg.doc_id = s.doc_id AND who = 1 AND sec >= 0.5) AS speaker_1_sec FROM s JOIN spk USING (doc_id)""",
+    "transcript_filter": rf"""WITH {_SAMPLES}, t AS (SELECT *, {_TOKENS} AS w, doc_id % 23 + 3 AS m FROM s),
+        h AS (SELECT *, array_to_string(w, ' ') AS before, array_to_string(list_filter(list_transform(w, lambda x, i: CASE WHEN i % m = 0 THEN NULL WHEN (i + 1) % m = 0 THEN 'zzz' ELSE x END), lambda x: x IS NOT NULL), ' ') AS heard FROM t),
+        u AS (SELECT *, {_UNITS.format("before")} AS a, {_UNITS.format("heard")} AS b FROM h),
+        v AS (SELECT *, list_distinct(list_concat(a, b)) AS voc FROM u),
+        e AS (SELECT *, levenshtein(array_to_string(list_transform(a, lambda x: chr(list_position(voc, x)::INTEGER + 32)), ''), array_to_string(list_transform(b, lambda x: chr(list_position(voc, x)::INTEGER + 32)), '')) AS errors FROM v),
+        r AS (SELECT *, CASE WHEN len(a) = 0 THEN 'inf'::DOUBLE WHEN len(b) = 0 THEN 1.0 ELSE errors::DOUBLE / len(a) END AS wer FROM e)
+        SELECT key, CASE WHEN wer > 0.2::DOUBLE THEN 'wer' END AS reject_code, errors::INTEGER AS errors, len(a)::INTEGER AS n_units, wer <= 0.2::DOUBLE AND regexp_matches(heard, '[^\s]') AS adopted,
+               md5(CASE WHEN wer <= 0.2::DOUBLE AND regexp_matches(heard, '[^\s]') THEN heard ELSE before END) AS text_md5 FROM r""",
+    "text_rewrite": rf"""WITH {_SAMPLES}, g AS (SELECT *, regexp_matches(text, '[\p{{Nd}}%℃$¥€]') AS gate, regexp_replace(regexp_replace(text, '[0-9%$]', '', 'g'), '^\s+|\s+$', '', 'g') AS new FROM s),
+        k AS (SELECT *, gate AND new <> '' AND NOT regexp_matches(new, '[\p{{Nd}}%℃$¥€]') AND length(new)::DOUBLE / greatest(length(text), 1) BETWEEN 0.5 AND 3 AND new <> text AS ok FROM g)
+        SELECT key, CASE WHEN gate AND NOT ok THEN true END AS unchanged, ok AS rewritten, md5(CASE WHEN ok THEN new ELSE text END) AS text_md5 FROM k""",
+    "pause_filter": f"""WITH {_ALIGNED}, p AS (SELECT *, len(w) > 0 AS usable, st[1]::DOUBLE / 1000 AS head, greatest(0, dur - (st[len(w)] + 120)::DOUBLE / 1000) AS tail,
+          greatest(0, coalesce(list_max(list_transform(generate_series(1, len(w) - 1), lambda i: st[i + 1]::DOUBLE / 1000 - (st[i] + 120)::DOUBLE / 1000)), 0)) AS gap FROM al),
+        c AS (SELECT *, CASE WHEN NOT usable THEN 'pause_no_alignment' WHEN gap > 1.5::DOUBLE THEN 'pause_gap' WHEN head > 1 THEN 'pause_head' WHEN tail > 1 THEN 'pause_tail' END AS code FROM p)
+        SELECT key, CASE WHEN code IS NOT NULL THEN 'pause' END AS reject_stage, code AS reject_code, CASE code WHEN 'pause_gap' THEN gap WHEN 'pause_head' THEN head WHEN 'pause_tail' THEN tail END AS reject_value,
+               CASE WHEN usable THEN round(head, 3) END AS head, CASE WHEN usable THEN round(tail, 3) END AS tail FROM c""",
+    "edge_trim": f"""WITH {_ALIGNED}, e AS (SELECT *, st[1]::DOUBLE / 1000 AS b, least((st[len(w)] + 120)::DOUBLE / 1000, dur) AS z FROM al),
+        c AS (SELECT *, greatest(0::DOUBLE, b - 0.1::DOUBLE) AS cs, least(dur, z + 0.3::DOUBLE) AS ce FROM e),
+        p AS (SELECT *, greatest(0::DOUBLE, 0.1::DOUBLE - (b - cs)) AS ph, greatest(0::DOUBLE, 0.3::DOUBLE - (ce - z)) AS pt FROM c),
+        t AS (SELECT *, NOT (cs < 0.05::DOUBLE AND dur - ce < 0.05::DOUBLE AND ph < 0.05::DOUBLE AND pt < 0.05::DOUBLE) AS cut FROM p)
+        SELECT key, cut AS trimmed, CASE WHEN cut THEN round(cs, 3) END AS cut_head, CASE WHEN cut THEN round(dur - ce, 3) END AS cut_tail, CASE WHEN cut THEN round(ph, 3) END AS pad_head, CASE WHEN cut THEN round(pt, 3) END AS pad_tail,
+               CASE WHEN cut THEN round(ce - cs + ph + pt, 3) ELSE dur END AS duration, CASE WHEN cut THEN round(greatest(0, b - (cs - ph)), 3) ELSE b END AS first_start FROM t""",
+    "pause_punctuation": f"""WITH {_ALIGNED}, n AS (SELECT key, w, st, unnest(generate_series(1, len(w))) AS i FROM al),
+        g AS (SELECT key, i, w[i] AS word, CASE WHEN i < len(w) THEN st[i + 1]::DOUBLE / 1000 - (st[i] + 120)::DOUBLE / 1000 END AS gap, i = len(w) AS last FROM n)
+        SELECT key, (count(*) FILTER (WHERE gap >= 0.3::DOUBLE))::INTEGER AS n_inserted, string_agg(word || CASE WHEN gap >= 0.8::DOUBLE THEN '。' WHEN gap >= 0.3::DOUBLE THEN '，' ELSE '' END, '' ORDER BY i) AS text FROM g GROUP BY key""",
+    "text_units": f"SELECT conv_id, turn, len({_UNITS.format('text')})::INTEGER AS n_units, md5(array_to_string({_UNITS.format('text')}, ' ')) AS units_md5 FROM conversations",
+    "language_names": "SELECT doc_id, CASE lang WHEN 'zh' THEN 'Chinese' WHEN 'en' THEN 'English' WHEN 'ja' THEN 'Japanese' WHEN 'ko' THEN 'Korean' WHEN 'de' THEN 'German' WHEN 'fr' THEN 'French' ELSE upper(lang) END AS language FROM documents",
+    "pair_join": "SELECT d.doc_id, source, quality, toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
+    "unpaired": "SELECT 'left' AS side, count(*)::BIGINT AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT 'right', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)",
+    "shard_limit": f"WITH {_SAMPLES} SELECT shard, key FROM s QUALIFY row_number() OVER (PARTITION BY shard ORDER BY ord) <= 7",
+    "worker_partition": "SELECT source AS shard, ((row_number() OVER (ORDER BY source) - 1) % 3)::BIGINT AS worker FROM (SELECT DISTINCT source FROM documents)",
+    "resume": "SELECT DISTINCT source AS shard FROM documents WHERE source NOT LIKE '%1'",
+    "corpus_summary": f"WITH {_JUDGED} SELECT count(*) FILTER (WHERE stage IS NULL) AS passed, count(stage) AS dropped, count(*) AS total, round(100.0::DOUBLE * count(*) FILTER (WHERE stage IS NULL) / count(*), 1) AS pass_rate FROM j",
+    "drops_by_stage": f"WITH {_JUDGED} SELECT stage, count(*) AS n FROM j WHERE stage IS NOT NULL GROUP BY stage",
+    "listing_search": f"WITH {_JUDGED} SELECT shard, key, NULL::INTEGER AS n_aligned FROM j WHERE stage = 'duration' AND contains(lower(key || ' ' || text || ' ' || heard), 'the and')",
+    "listing_wer_page": f"WITH {_JUDGED} SELECT shard, key, wer FROM j WHERE stage IS NULL ORDER BY coalesce(wer, -1) DESC, shard, ord LIMIT 100 OFFSET (SELECT least(1, greatest(1, (count(*) + 99) // 100) - 1) * 100 FROM j WHERE stage IS NULL)",
+    "listing_quality_page": f"WITH {_JUDGED} SELECT shard, key FROM j WHERE stage IS NOT NULL ORDER BY CASE WHEN stage <> 'duration' THEN round((3000 + doc_id * 7 % 6000)::DOUBLE / 1000, 3) ELSE 99 END, shard, ord LIMIT 100",
+    "listing_last_page": f"WITH {_JUDGED} SELECT shard, key, duration FROM j WHERE stage IS NULL ORDER BY duration DESC, shard, ord LIMIT 100 OFFSET (SELECT (greatest(1, (count(*) + 99) // 100) - 1) * 100 FROM j WHERE stage IS NULL)",
+    "listing_other_text": f"WITH {_JUDGED} SELECT key, md5(CASE WHEN orig_text <> text THEN orig_text WHEN heard <> text THEN heard END) AS other_md5 FROM j",
+    "row_detail": f"WITH {_JUDGED} SELECT key, shard, stage, duration FROM j WHERE shard = 'src3' AND key = '3'",
+    "shard_log": f"WITH {_JUDGED} SELECT shard, count(*) AS n_in, count(*) FILTER (WHERE stage IS NULL) AS n_out FROM j GROUP BY shard",
+    "event_gaps": "SELECT user_id, count(*) AS n, max(gap)::BIGINT AS max_gap_us FROM (SELECT user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events) GROUP BY user_id",
+}
+_PACKS = r"""
+z AS (SELECT source AS name, sum(n_chars)::BIGINT AS size, count(*) AS n FROM documents GROUP BY source),
+o AS (SELECT *, row_number() OVER (ORDER BY name) AS k, (SELECT sum(size) // 7 FROM z) AS most FROM z),
+f(k, name, size, n, pack, used) AS (
+  SELECT k, name, size, n, 0, size FROM o WHERE k = 1
+  UNION ALL
+  SELECT o.k, o.name, o.size, o.n, CASE WHEN used + o.size > most THEN pack + 1 ELSE pack END, CASE WHEN used + o.size > most THEN o.size ELSE used + o.size END FROM f JOIN o ON o.k = f.k + 1
+)
+"""
+SQL["pack_greedy"] = f"WITH RECURSIVE {_PACKS} SELECT name, size, pack FROM f"
+SQL["pack_manifest"] = f"WITH RECURSIVE {_PACKS} SELECT printf('pack_%05d', pack) AS pack_id, string_agg(name, ',' ORDER BY name) AS files, sum(n)::BIGINT AS num_samples FROM f GROUP BY pack"
