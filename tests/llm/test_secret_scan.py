@@ -31,3 +31,15 @@ def test_equals_brute_force(spark, docs, clash, no_docs):
     assert op.update_ledger(df, ledger, op.BASE).count() == ledger.count()
     assert sorted(op.findings(df, ledger).collect()) == sorted(got)
     assert op.findings(no_docs).collect() == [] and op.findings(clash).count() == clash.count()
+
+
+def test_query_counts(spark, tmp_path):
+    from collections import Counter
+
+    rows = [(1, "token=abcdefg token=hijklmn AKIA" + "B" * 16), (2, "a" * 30 + " " + "b" * 30 + " secret: abcdefg"), (3, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in op.op6_secret_scan(spark, str(tmp_path)).collect():
+        want = base(dict(rows)[r.doc_id])
+        n = Counter(x.split(":")[0] for x in want)
+        assert (r.n_assign, r.n_access, r.n_hex) == (n["assign"], n["access"], n["hex"])
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest() and r.spans == ",".join(want)

@@ -35,6 +35,10 @@ def _masked_sum(hashes: Column, shift: int, mask: int) -> Column:
     return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(mask)))
 
 
+def _hashes(column: str, seed: int) -> Column:
+    return F.transform(column, lambda p: F.xxhash64(p, F.lit(seed)))
+
+
 def with_vector(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds array<long> ``out``: number of pieces, four equality lanes, 32 longs of three 16-bit likeness lanes.
 
@@ -42,8 +46,8 @@ def with_vector(df: DataFrame, text: str, out: str) -> DataFrame:
     """
     kept = df.columns
     df = df.withColumns({"_paragraphs": F.split(text, "\n"), "_pieces": F.regexp_extract_all(F.col(text), F.lit(_PIECE), F.lit(0))})
-    hashed = {f"_p{seed}": F.transform("_paragraphs", lambda p, seed=seed: F.xxhash64(p, F.lit(seed))) for seed in (11, 12)}
-    hashed |= {f"_h{seed}": F.transform("_pieces", lambda p, seed=seed: F.xxhash64(p, F.lit(seed))) for seed in (21, 22)}
+    hashed = {f"_p{seed}": _hashes("_paragraphs", seed) for seed in (11, 12)}
+    hashed |= {f"_h{seed}": _hashes("_pieces", seed) for seed in (21, 22)}
     df = df.withColumns(hashed | {"_n": F.size("_pieces").cast("long")})
     equality = [_masked_sum(F.col(f"_p{seed}"), shift, _LOW32).bitwiseAND(F.lit(_LOW32)) for seed in (11, 12) for shift in (0, 32)]
     likeness = [_masked_sum(F.col(f"_h{seed}"), shift, _LANES).bitwiseAND(F.lit(_LOW48)) for seed in (21, 22) for shift in range(_SHIFTS)]

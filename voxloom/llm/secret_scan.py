@@ -99,9 +99,13 @@ def _listed(array: Column) -> Column:
     return F.array_join(F.transform(array, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def _number_of(kind_no: int) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind_no"] == kind_no))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = findings(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind_no"] == k)).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(BASE)]
+    counts = [_number_of(k).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(BASE)]
     base = F.filter("spans", lambda s: s["kind_no"] < len(BASE))
     return found.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
