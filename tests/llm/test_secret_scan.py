@@ -29,7 +29,7 @@ def test_equals_brute_force(spark, docs, clash, no_docs):
     ledger = op.update_ledger(df, None)
     assert op.update_ledger(df, ledger).collect() == []
     assert op.update_ledger(df, ledger, op.BASE).count() == ledger.count()
-    assert sorted(op.findings(df, ledger).collect()) == sorted(got)
+    assert sorted(map(str, op.findings(df, ledger).collect())) == sorted(map(str, got))
     assert op.findings(no_docs).collect() == [] and op.findings(clash).count() == clash.count()
 
 

@@ -57,7 +57,7 @@ class _Words(dict):
 _WORDS = _Words()
 _KEEP = bytes(range(97, 123)) + bytes(range(48, 58)) + bytes(range(128, 256))
 _CLEAN = bytes(b if b in _KEEP else 32 for b in range(256))
-_GOLD = np.uint64(0x9E3779B97F4A7C15)
+_GOLD, _MASK = np.uint64(0x9E3779B97F4A7C15), (1 << 64) - 1
 
 
 def regions(text: bytes) -> np.ndarray:
@@ -95,7 +95,7 @@ def signature(names: np.ndarray) -> np.ndarray:
     begin, tile, wanted = 0.0, 0, DARTS / len(names)
     while begin < wanted or np.isinf(best).any():
         end = _ENDS[tile] if tile < len(_ENDS) else begin + 1.0
-        h = mix64(names + np.uint64(tile + 1) * _GOLD)
+        h = mix64(names + np.uint64((tile + 1) * int(_GOLD) & _MASK))
         number = _poisson((h >> np.uint64(11)).astype(np.float64) * 2.0**-53, end - begin)
         hit = np.flatnonzero(number)
         if len(hit):
