@@ -79,3 +79,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def crc_of(column: Column) -> Column:
     """crc32 of a number's decimal text; null counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
+
+
+def join_facts(rows: DataFrame, facts: DataFrame, on: str, spread: str, salts: int = 16) -> DataFrame:
+    """Left join of ``facts`` (one row a key, few keys) to ``rows``, whose keys may be hot: a key's rows are dealt to
+    ``salts`` tasks by the hash of column ``spread``, and its facts to each of them."""
+    left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
+    right = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return left.join(right, [on, "_salt"], "left").drop("_salt")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialize, mix64, table, utf8
+from ._common import join_facts, materialize, mix64, table, utf8
 from .url_filter import blocked_bloom, maybe_listed
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -205,12 +205,14 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Per row: doc_id, class_id (the class's least doc_id), class_rows, text_key, chosen (one doc_id and text a class)."""
     signed = signatures(docs)
     roots = components(links(signed, least))
-    rows = signed.select("doc_id", "text_key").join(roots, "text_key", "left").select("doc_id", "text_key", F.coalesce("root", "text_key").alias("_class"))
+    rows = join_facts(signed.select("doc_id", "text_key"), roots, "text_key", "doc_id").select("doc_id", "text_key", F.coalesce("root", "text_key").alias("_class"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
-    named = rows.groupBy("_class").agg(F.count("*").alias("class_rows"), F.min(order).alias("_first"))
-    both = rows.join(named, "_class")
-    chosen = F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("text_key") == F.col("_first.text_key"))
-    return both.select("doc_id", F.col("_first.doc_id").alias("class_id"), "class_rows", "text_key", chosen.alias("chosen"))
+    named = rows.groupBy("_class").agg(F.count("*").alias("class_rows"), F.min(order).alias("_first")).where("class_rows > 1")
+    both = join_facts(rows, named, "_class", "doc_id")
+    alone = F.col("class_rows").isNull()
+    chosen = alone | (F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("text_key") == F.col("_first.text_key")))
+    class_id = F.when(alone, F.col("doc_id")).otherwise(F.col("_first.doc_id"))
+    return both.select("doc_id", class_id.alias("class_id"), F.coalesce("class_rows", F.lit(1)).alias("class_rows"), "text_key", chosen.alias("chosen"))
 
 
 def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:

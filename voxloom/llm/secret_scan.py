@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import table
+from ._common import join_facts, table
 
 
 @dataclass(frozen=True)
@@ -92,7 +92,7 @@ def findings(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
         known = known.unionByName(ledger.where(F.col("version") == version_of(rules)))
     some = known.where(F.size("spans") > 0).select("blob", "spans")
     rows = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("blob"))
-    return rows.join(some, "blob", "left").select("doc_id", "blob", F.coalesce("spans", F.expr(f"cast(array() as {_SPAN})")).alias("spans"))
+    return join_facts(rows, some, "blob", "doc_id").select("doc_id", "blob", F.coalesce("spans", F.expr(f"cast(array() as {_SPAN})")).alias("spans"))
 
 
 def _listed(array: Column) -> Column:

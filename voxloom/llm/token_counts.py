@@ -73,7 +73,7 @@ def read_flat_files(spark: SparkSession, path: str, block_bytes: int = 2 * BLOCK
     """Blocks of flat token files that lie in any store that Spark reads; a file may have up to 2 GB."""
     files = spark.read.format("binaryFile").load(path).select(F.xxhash64("path").alias("file_id"), "path", "content", "length")
     at = F.explode(F.sequence(F.lit(0), F.expr(f"greatest(0, int((length - 1) div {block_bytes}))"))).alias("block_no")
-    return files.select("file_id", "path", "content", at).selectExpr("file_id", "path", "long(block_no) block_no", f"substring(content, block_no * {block_bytes} + 1, {block_bytes}) tokens")
+    return files.select("file_id", "path", "content", at).selectExpr("file_id", "path", "bigint(block_no) block_no", f"substring(content, block_no * {block_bytes} + 1, {block_bytes}) tokens")
 
 
 def separator_scan(blocks: DataFrame, separator: int = SEPARATOR, block_tokens: int = BLOCK_TOKENS, dtype: str = "<u2") -> DataFrame:
