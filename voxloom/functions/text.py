@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space as Python's str.isspace sees it.
 SPACE = r"[\p{Z}\x09-\x0d\x1c-\x1f\x85]"
@@ -27,7 +28,7 @@ def is_blank(text: Column) -> Column:
     return F.coalesce(~F.rlike(text, F.lit("(?s)" + SPACE.replace("[", "[^", 1))), F.lit(True))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
 
@@ -120,7 +121,7 @@ def chinese_numbers(text: str) -> str:
     return re.sub(r"([0-9]+)(?:\.([0-9]+))?", number, text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def numbers_to_chinese(text: pd.Series) -> pd.Series:
     """Uses the package cn2an where it is installed, else ``chinese_numbers``; a text that fails stays as it is."""
     try:
@@ -137,7 +138,7 @@ def numbers_to_chinese(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def to_pinyin(units: pd.Series) -> pd.Series:
     """Toneless pinyin of CJK units where the package pypinyin is installed; without it units stay as they are."""
     try:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def process_arrivals(spark: SparkSession, folder: str, pattern: str, checkpoint: str, handle: Callable[[list[str]], None]) -> None:
     """Calls ``handle`` with the paths of archives that no earlier call has seen, then returns."""
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", pattern).load(folder).select("path")
 
     def batch(df: DataFrame, _: int) -> None:
         paths = [r.path.removeprefix("file:") for r in df.select(F.regexp_replace("path", "^file:/+", "/").alias("path")).orderBy("path").collect()]
