@@ -6,7 +6,7 @@ import pytest
 
 ROOT = str(Path(__file__).resolve().parents[1])
 sys.path.insert(0, ROOT)
-os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
+os.environ["PYTHONPATH"] = ROOT + os.pathsep + str(Path(__file__).parent) + os.pathsep + os.environ.get("PYTHONPATH", "")
 os.environ["PYSPARK_PYTHON"] = sys.executable
 
 
