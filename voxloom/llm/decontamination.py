@@ -1,14 +1,15 @@
 """Benchmark decontamination with a positional inverted index.
 
-The index is partitioned by document: each document's words keep their places, and the postings (word, place) of the
-terms that a search asks for are produced where the document lies and never leave it. A search starts from the
-rarest terms: term frequencies over all documents are counted for the benchmark's own words, every window of 13 item
-words picks its two rarest ones, and the two posting lists are intersected after adjusting for their offsets: the
-second must stand as far from the first as in the item. An alignment (document, item, shift) that survives is compared
-word by word, which gives exact phrases. ``proximity_matches`` relaxes the offsets to a span.
+The index stores postings of the training documents: for each distinct text and term, the places where the term
+stands. A search starts from the rarest terms: the frequencies of the benchmark's own words are counted over all
+documents, every window of 13 item words picks its two rarest words, and postings are stored for these. The posting
+lists of a window's two words are intersected after adjusting for their offsets: the second must stand as far from the
+first as in the item. An alignment (text, item, shift) that survives is compared word by word with the text, which
+gives exact phrases. ``proximity_matches`` relaxes the offsets to a span.
 
 Only the benchmark's terms and windows are broadcast. They are cut into blocks of at most ``BLOCK_ANCHORS`` rows and
-``BLOCK_WORDS`` words and searched one block at a time, whatever the size of the benchmark.
+``BLOCK_WORDS`` words and searched one block at a time, whatever the size of the benchmark. Postings are dealt by text
+and term, so neither a frequent word nor a passage that many documents share gathers in one task.
 
 Defined results: a null or wordless text has n_words 0 and is not contaminated; a null or wordless item has no windows;
 rows of the benchmark that repeat count once an item_id; a null item_id is left out of the list of ids; repeated
@@ -22,12 +23,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import ascii_lower, materialize, table
+from ._common import ascii_lower, join_facts, materialize, table
+from .url_filter import blocked_bloom, maybe_listed
 
 WINDOW = 13
 #: A document is contaminated if at least this share of its words is hit.
 SHARE = 20
 BLOCK_ANCHORS, BLOCK_WORDS = 100_000, 4_000_000
+FILTER_BLOCKS = 1 << 16
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -36,11 +39,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), _BREAK), "")
 
 
-def _postings(docs: DataFrame) -> DataFrame:
-    """(doc columns, words, pos, term): place 0 holds an empty term, so that each document has one row that says it exists."""
-    return docs.select("*", F.posexplode(F.concat(F.array(F.lit("")), "words")).alias("pos", "term"))
-
-
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """(item_id, item): distinct items with at least one word."""
     return benchmark.select("item_id", words(F.col("text")).alias("item")).where(F.size("item") > 0).distinct()
@@ -63,26 +61,47 @@ def anchors(items: DataFrame, frequencies: DataFrame, window: int = WINDOW) -> D
     return picked.select("item_id", "item", "p", "q", F.expr("get(item, p)").alias("term"), F.expr("get(item, q)").alias("second"))
 
 
-def phrase_hits(docs: DataFrame, anchor_rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Alignments: doc columns of ``docs`` but words, item_id, hits (places from 1 in whole windows; without any, item_id is null).
+def texts_of(docs: DataFrame) -> DataFrame:
+    """(text_hash, words) of each row of ``docs``."""
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).select(F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
 
-    ``docs`` has a column words; a row where exists is true stands for each document itself.
-    """
-    sentinel = docs.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(True).alias("exists"))
-    listed = anchor_rows.withColumn("exists", F.lit(False)).unionByName(sentinel, allowMissingColumns=True)
-    kept = [c for c in docs.columns if c != "words"]
-    near = F.expr("exists or get(words, pos - 1 + q - p) = second")
-    met = _postings(docs).alias("d").join(F.broadcast(listed.alias("a")), (F.col("d.term") == F.col("a.term")) & near)
-    met = met.select(*kept, "item_id", "item", "exists", "words", (F.col("pos") - 1 - F.col("p")).alias("shift"))
-    size = F.least(F.size("item"), F.lit(window))
+
+def build_index(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """(text_hash, term, places): the postings of ``terms`` (few enough to broadcast) in all texts, places from 0. Written once."""
+    met = texts.select("text_hash", F.posexplode("words").alias("pos", "term")).join(F.broadcast(terms.select("term").distinct()), "term")
+    return materialize(met.groupBy("text_hash", "term").agg(F.array_sort(F.collect_set("pos")).alias("places")), "postings")  # a group is within one text
+
+
+def _terms(anchor_rows: DataFrame) -> DataFrame:
+    return anchor_rows.select(F.explode(F.array("term", "second")).alias("term"))
+
+
+def alignments(index: DataFrame, anchor_rows: DataFrame) -> DataFrame:
+    """(text_hash, item_no, shift): texts where a window's two rarest words stand as in the item, which would begin at ``shift``."""
+    first = index.join(F.broadcast(anchor_rows.select("item_no", "p", "q", "term", "second")), "term")
+    first = first.select("text_hash", "item_no", "p", "q", "second", F.explode("places").alias("pos"))
+    other = index.select("text_hash", F.col("term").alias("second"), F.col("places").alias("others"))
+    met = first.join(other, ["text_hash", "second"]).where(F.array_contains("others", F.col("pos") + F.col("q") - F.col("p")))
+    return met.select("text_hash", "item_no", (F.col("pos") - F.col("p")).alias("shift")).distinct()
+
+
+def phrase_hits(texts: DataFrame, found: DataFrame, anchor_rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(text_hash, item_id, hits): places (from 1) inside whole windows, for each of the alignments ``found`` that has any."""
+    listed = found.groupBy("text_hash").agg(F.collect_set(F.struct("item_no", "shift")).alias("at"))  # a group is within one text
+    held = maybe_listed(texts, "text_hash", blocked_bloom(listed.select("text_hash"), FILTER_BLOCKS), FILTER_BLOCKS).dropDuplicates(["text_hash"])
+    each = held.join(listed, "text_hash").select("text_hash", "words", F.explode("at").alias("at")).select("text_hash", "words", "at.item_no", "at.shift")
+    each = each.join(F.broadcast(anchor_rows.select("item_no", "item_id", "item").dropDuplicates(["item_no"])), "item_no")
     fits = F.expr(f"filter(sequence(greatest(0, -shift), greatest(0, -shift, size(item) - {window})), s -> shift + s >= 0 and slice(words, shift + s + 1, {window}) = slice(item, s + 1, {window}))")
-    if window > 1:  # an item shorter than a window is one window
-        short = F.expr("if(shift >= 0 and slice(words, shift + 1, size(item)) = item, array(0), array())")
-        fits = F.when(F.size("item") < window, short).otherwise(fits)
-    # no filter on starts: as a part of the join it would keep the join from being compiled
-    met = met.select("*", F.when(~F.col("exists"), fits).alias("starts"), size.alias("n"))
+    short = F.expr("if(shift >= 0 and slice(words, shift + 1, size(item)) = item, array(0), array())")  # an item shorter than a window is one window
+    each = each.select("text_hash", "item_id", "shift", F.when(F.size("item") < window, short).otherwise(fits).alias("starts"), F.least(F.size("item"), F.lit(window)).alias("n"))
     hits = F.array_distinct(F.flatten(F.expr("transform(starts, s -> sequence(shift + s + 1, shift + s + n))")))
-    return met.select(*kept, F.when(F.size("starts") > 0, F.col("item_id")).alias("item_id"), "exists", hits.alias("hits"))
+    return each.where(F.size("starts") > 0).select("text_hash", "item_id", hits.alias("hits"))
+
+
+def _listed(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    items = benchmark_items(benchmark)
+    frequencies = term_frequencies(docs, items.select(F.explode("item").alias("term")).distinct())
+    return materialize(anchors(items, frequencies, window).withColumn("item_no", F.xxhash64("item_id", "item")), "anchors")
 
 
 def _blocks(anchor_rows: DataFrame) -> list[DataFrame]:
@@ -97,20 +116,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
     text_hash is xxhash64 of the text. Rows that are equal in doc_id and text get equal results.
     """
-    items = benchmark_items(benchmark)
-    frequencies = term_frequencies(docs, items.select(F.explode("item").alias("term")).distinct())
-    listed = materialize(anchors(items, frequencies, window), "anchors")
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
-    texts = texts.withColumn("n_words", F.size("words").cast("long"))
-    found = reduce(DataFrame.unionByName, [phrase_hits(texts, part, window).withColumn("part", F.lit(k)) for k, part in enumerate(_blocks(listed))])
-    per_doc = found.groupBy("doc_id", "text_hash", "n_words").agg(  # a group is one document
-        F.count_if(F.col("exists") & (F.col("part") == 0)).alias("copies"),
+    texts, parts = texts_of(docs), _blocks(_listed(docs, benchmark, window))
+    found = [phrase_hits(texts, alignments(build_index(texts, _terms(part)), part), part, window) for part in parts]
+    per_text = reduce(DataFrame.unionByName, found).groupBy("text_hash").agg(  # a group is within one text
         F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("long").alias("n_hit"),
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
     )
-    rows = per_doc.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"))
-    bad = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
-    return rows.select("doc_id", "text_hash", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", bad.alias("contaminated"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    joined = join_facts(rows, per_text, "text_hash", "doc_id")
+    n_hit, ids = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.expr("cast(array() as array<string>)"))
+    bad = (n_hit > 0) & (share * n_hit >= F.col("n_words"))
+    return joined.select("doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("items"), bad.alias("contaminated"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
@@ -122,16 +138,15 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
 
 
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 4, window: int = WINDOW) -> DataFrame:
-    """(doc_id, item_id): the two rarest terms of some window lie within their distance in the item plus ``slop`` words, in either order."""
-    items = benchmark_items(benchmark)
-    frequencies = term_frequencies(docs, items.select(F.explode("item").alias("term")).distinct())
-    texts = docs.select("doc_id", words(F.col("text")).alias("words"))
-    out = None
-    for part in _blocks(materialize(anchors(items, frequencies, window), "anchors")):
-        near = F.expr(f"array_contains(slice(words, greatest(1, pos - abs(q - p) - {slop}), 2 * (abs(q - p) + {slop}) + 1), second)")
-        met = _postings(texts).alias("d").join(F.broadcast(part.alias("a")), (F.col("d.term") == F.col("a.term")) & near).select("doc_id", "item_id")
-        out = met if out is None else out.union(met)
-    return out.distinct()
+    """(text_hash, item_id): some window's two rarest words lie within their distance in the item plus ``slop`` words, in either order."""
+    texts, out = texts_of(docs), []
+    for part in _blocks(_listed(docs, benchmark, window)):
+        index = build_index(texts, _terms(part))
+        first = index.join(F.broadcast(part.select("item_id", "p", "q", "term", "second")), "term")
+        other = index.select("text_hash", F.col("term").alias("second"), F.col("places").alias("others"))
+        near = F.exists("places", lambda x: F.exists("others", lambda y: F.abs(x - y) <= F.abs(F.col("q") - F.col("p")) + slop))
+        out.append(first.join(other, ["text_hash", "second"]).where(near).select("text_hash", "item_id"))
+    return reduce(DataFrame.union, out).distinct()
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
