@@ -110,7 +110,7 @@ def test_run_end_to_end(spark, tmp_path):
         names = t.getnames()
         info = json.loads(t.extractfile("ID1.json").read())
         sound, rate = audio.decode(t.extractfile([n for n in names if n.startswith("ID1.") and not n.endswith("json")][0]).read())
-    assert len(names) == 4 and info["text"] == "你，好，吗" and info["orig_text"] == "你好吗" and info["speaker"] == "s" and info["source"] == "emilia"
+    assert len(names) == 4 and info["text"] == "你，好，吗" and info["orig_text"] == "你好吗" and info["speaker"] == "s" and info["source"] == archives.SOURCES["json_audio"]
     assert abs(len(sound) / rate - info["duration"]) < 1e-3 and info["trim"]["cut_head"] == 0.4 and info["alignment"][0]["start"] == 0.1
     drops = [json.loads(x) for x in open(out / "a-drops.jsonl")]
     assert {(d["key"], d["stage"], d["reason"].split(":")[0]) for d in drops} == {("bad", "input", "decode_error"), ("short", "duration", "too_short")}

@@ -167,6 +167,18 @@ def shard_log(spark: SparkSession, sf: str) -> DataFrame:
     return log(spark, _judged(spark, sf)).select("shard", "n_in", "n_out")
 
 
+def stage_throughput(spark: SparkSession, sf: str) -> DataFrame:
+    stage = F.get(F.array(*map(F.lit, ("duration", "asr_wer", "align"))), F.expr("int(doc_id % 3)"))
+    timed = syn.samples(spark, sf).select(stage.alias("stage"), F.expr("cast(doc_id % 50 as double)").alias("seconds"), F.lit(1).alias("items"), F.expr("cast(doc_id % 30 as double)").alias("audio_seconds"))
+    return rj.throughput(timed)
+
+
+def prefetch_keys(spark: SparkSession, sf: str) -> DataFrame:
+    rows = stages.duration_filter(syn.samples(spark, sf)).withColumn("stem", F.col("key"))
+    members = rows.select("shard", "stem", (F.col("doc_id") % 2 == 0).alias("compressed"))
+    return pairing.prefetch_keys(members, rj.dropped(rows), rows.where("doc_id % 5 = 0")).select("shard", "stem")
+
+
 def event_gaps(spark: SparkSession, sf: str) -> DataFrame:
     """The window form of the pause measure: the longest gap between a user's events, in microseconds."""
     from pyspark.sql import Window
@@ -180,7 +192,7 @@ def event_gaps(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     duration_filter, drop_counts, quality_filter, speaker_filter, transcript_filter, text_rewrite, pause_filter, edge_trim, pause_punctuation, text_units, language_names,
     pair_join, unpaired, shard_limit, worker_partition, resume, pack_greedy, pack_manifest, corpus_summary, drops_by_stage, listing_search, listing_wer_page,
-    listing_quality_page, listing_last_page, listing_other_text, row_detail, shard_log, event_gaps,
+    listing_quality_page, listing_last_page, listing_other_text, row_detail, shard_log, stage_throughput, prefetch_keys, event_gaps,
 )}
 
 _SAMPLES = r"""
@@ -259,6 +271,8 @@ SQL = {
     "listing_other_text": f"WITH {_JUDGED} SELECT key, md5(CASE WHEN orig_text <> text THEN orig_text WHEN heard <> text THEN heard END) AS other_md5 FROM j",
     "row_detail": f"WITH {_JUDGED} SELECT key, shard, stage, duration FROM j WHERE shard = 'src3' AND key = '3'",
     "shard_log": f"WITH {_JUDGED} SELECT shard, count(*) AS n_in, count(*) FILTER (WHERE stage IS NULL) AS n_out FROM j GROUP BY shard",
+    "stage_throughput": "SELECT stage, sum(s) AS seconds, sum(s) / (SELECT sum(doc_id % 50)::DOUBLE FROM documents) AS share, count(*) / sum(s) AS items_per_sec, sum(a) / sum(s) AS times_real_time FROM (SELECT ['duration', 'asr_wer', 'align'][doc_id % 3 + 1] AS stage, (doc_id % 50)::DOUBLE AS s, (doc_id % 30)::DOUBLE AS a FROM documents) GROUP BY stage",
+    "prefetch_keys": f"WITH {_SAMPLES}, {_DURATION} SELECT shard, key AS stem FROM d WHERE code IS NOT NULL AND doc_id % 2 = 0 AND doc_id % 5 <> 0",
     "event_gaps": "SELECT user_id, count(*) AS n, max(gap)::BIGINT AS max_gap_us FROM (SELECT user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events) GROUP BY user_id",
 }
 _PACKS = r"""

@@ -20,6 +20,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from ..schema import SAMPLE
 
 AUDIO = ("mp3", "wav", "flac")
+# What written metadata calls the source of each layout.
+SOURCES = {"json_audio": "emilia", "txt_wav": "wenetspeech4tts"}
 INDEX = "shard string, ord long, stem string, ext string, path string, offset long, size long, compressed boolean"
 _LAYOUTS: dict[str, Callable[[tarfile.TarFile, dict], Iterator[dict]]] = {}
 
@@ -70,7 +72,7 @@ def _json_audio(archive: tarfile.TarFile, counters: dict) -> Iterator[dict]:
     for stem, raw, audio, ext in _paired(archive, counters, AUDIO, "json"):
         info = json.loads(raw)
         rest = {k: v for k, v in info.items() if k not in known}
-        yield {"key": _string(info.get("id", stem)), "stem": stem, "ext": ext, "audio": audio, "text": info.get("text"), "language": info.get("language"), "source_duration": _number(info.get("duration")), "speaker": _string(info.get("speaker")), "dnsmos": _number(info.get("dnsmos")), "source": "emilia", "unread": json.dumps(rest, ensure_ascii=False) if rest else None}
+        yield {"key": _string(info.get("id", stem)), "stem": stem, "ext": ext, "audio": audio, "text": info.get("text"), "language": info.get("language"), "source_duration": _number(info.get("duration")), "speaker": _string(info.get("speaker")), "dnsmos": _number(info.get("dnsmos")), "source": SOURCES["json_audio"], "unread": json.dumps(rest, ensure_ascii=False) if rest else None}
 
 
 def transcript_line(raw: bytes) -> str | None:
@@ -81,7 +83,7 @@ def transcript_line(raw: bytes) -> str | None:
 
 def _txt_wav(archive: tarfile.TarFile, counters: dict) -> Iterator[dict]:
     for stem, raw, audio, _ in _paired(archive, counters, ("wav",), "txt"):
-        yield {"key": stem, "stem": stem, "ext": "wav", "audio": audio, "text": transcript_line(raw), "language": "zh", "source": "wenetspeech4tts"}
+        yield {"key": stem, "stem": stem, "ext": "wav", "audio": audio, "text": transcript_line(raw), "language": "zh", "source": SOURCES["txt_wav"]}
 
 
 register_layout("json_audio", _json_audio)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from ..schema import ANNOTATIONS
+from .archives import SOURCES
 
 #: Digits after the point of a reject's value, by code; other codes show it as a whole number.
 _DIGITS = {"too_short": 2, "too_long": 2, "wer": 3, "pause_gap": 2, "pause_head": 2, "pause_tail": 2}
@@ -48,7 +49,7 @@ def metadata(row) -> dict:
     """A row's metadata as it is written: source fields (null ones too in the json_audio layout), annotations, text, language."""
     r, out = row.asDict(), {}
     out["duration"] = r.get("duration") if r.get("duration") is not None else r.get("source_duration")
-    if r.get("source") == "emilia":
+    if r.get("source") == SOURCES["json_audio"]:
         out |= {"speaker": r.get("speaker"), "dnsmos": r.get("dnsmos")}
     elif out["duration"] is None:
         del out["duration"]
