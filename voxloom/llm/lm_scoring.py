@@ -31,9 +31,10 @@ from ._common import crc_of, materialize, mix64, slices, table, utf8
 
 DEPTH = 5
 FOLDS, HELD_OUT = 7, 2
-SLICE_GRAMS = 1 << 23
+SLICE_GRAMS = 1 << 22
 FREQUENT = 1 << 20
-_BYTES = 1 << 22
+#: Bytes of text that a worker turns into grams at once, and distinct keys that it gathers before it sends them on.
+_BYTES, _GATHERED = 1 << 20, 600_000
 _GRAM = np.uint64((1 << 8 * (DEPTH + 1)) - 1)
 #: The end token's hash; no word hashes to it by construction (see _Words).
 _END = 0
@@ -96,6 +97,28 @@ def _tokens(data: np.ndarray, at: np.ndarray, lo: int, hi: int) -> tuple[np.ndar
     return out, sizes
 
 
+class _Gathered:
+    """Sums by key; hands rows on when many keys have come together."""
+
+    def __init__(self, kind: int):
+        self.kind, self.parts, self.size = kind, [], 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray):
+        self.parts.append((keys, n))
+        self.size += len(keys)
+        if self.size > 2 * _GATHERED:
+            self.parts = [_counted(*map(np.concatenate, zip(*self.parts, strict=True)))]
+            self.size = len(self.parts[0][0])
+            if self.size > _GATHERED:
+                yield from self.rest()
+
+    def rest(self):
+        if self.size:
+            keys, n = _counted(*map(np.concatenate, zip(*self.parts, strict=True)))
+            yield pa.record_batch([pa.array(np.full(len(keys), self.kind, np.int8)), pa.array(keys), pa.array(n)], names=["kind", "key", "n"])
+        self.parts, self.size = [], 0
+
+
 def counts(docs: DataFrame) -> DataFrame:
     """(kind, key, n): kind 0, all grams with their number in training texts; kind 1, tokens of training texts. Written once.
 
@@ -103,10 +126,7 @@ def counts(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches):
-        def row_batch(kind, keys, n):
-            return pa.record_batch([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys.astype(np.int64)), pa.array(n)], names=["kind", "key", "n"])
-
-        held: list = []
+        kinds = (_Gathered(0), _Gathered(1))
         for b in batches:
             data, at = utf8(b.column(0))
             out = np.array(b.column(1).to_pylist(), bool)
@@ -114,16 +134,14 @@ def counts(docs: DataFrame) -> DataFrame:
                 grams, starts = _grams(data, at, lo, hi)
                 test = np.repeat(out[lo:hi], np.diff(starts))
                 seen, n = _counted(grams[~test])
-                unseen = np.setdiff1d(_counted(grams[test])[0], seen, assume_unique=True) if test.any() else grams[:0]
-                held.append((np.concatenate([seen, unseen]), np.concatenate([n, np.zeros(len(unseen), np.int64)])))
-                if sum(len(k) for k, _ in held) > 4_000_000:
-                    held = [_counted(*map(np.concatenate, zip(*held, strict=True)))]
-                    if len(held[0][0]) > 2_000_000:
-                        yield row_batch(0, *held.pop())
+                yield from kinds[0].add(seen.astype(np.int64), n)
+                if test.any():
+                    unseen = np.setdiff1d(_counted(grams[test])[0], seen, assume_unique=True).astype(np.int64)
+                    yield from kinds[0].add(unseen, np.zeros(len(unseen), np.int64))
                 words, sizes = _tokens(data, at, lo, hi)
-                yield row_batch(1, *_counted(words[~np.repeat(out[lo:hi], sizes)]))
-        if held:
-            yield row_batch(0, *_counted(*map(np.concatenate, zip(*held, strict=True))))
+                yield from kinds[1].add(*_counted(words[~np.repeat(out[lo:hi], sizes)]))
+        for kind in kinds:
+            yield from kind.rest()
 
     rows = docs.select("text", "held_out").mapInArrow(run, "kind tinyint, key long, n long")
     return materialize(rows.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
@@ -238,8 +256,9 @@ class Lookup:
     """Open-addressing table from 64-bit keys to values, probed for whole arrays at once."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
+        """The last key stands for keys that are not there, and its value is zero."""
+        self.keys, self.values, keys = keys, values, keys[:-1]
         self.bits = max(4, int(2 * len(keys)).bit_length())
-        self.keys, self.values = np.append(keys, -1), np.append(values, np.zeros(1, values.dtype))
         self.slots = np.full(1 << self.bits, len(keys), np.int32)
         left = np.arange(len(keys), dtype=np.int32)
         at = self._home(keys)
@@ -280,8 +299,10 @@ def _lookup(use: str, sent) -> Lookup:
 
 
 def _gather(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The two columns as arrays, with the row at the end that ``Lookup`` asks for."""
     t = df.toArrow()
-    return t.column(0).to_numpy(), t.column(1).to_numpy()
+    keys, values = (t.column(k).to_numpy() for k in (0, 1))
+    return np.append(keys, -1), np.append(values, np.zeros(1, values.dtype))
 
 
 def _sum_slices(docs: DataFrame, model: DataFrame) -> list[DataFrame]:
