@@ -21,6 +21,8 @@ and kept by ``keep_one``; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +30,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import join_facts, materialize, mix64, table, utf8
+from ._common import join_facts, materialize, mix64, slices, table, utf8
 from .url_filter import blocked_bloom, maybe_listed
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
 COORDINATES = BANDS * ROWS
-ALL_PAIRS = 6
+ALL_PAIRS = 32
+#: Regions whose darts a worker throws at once.
+REGIONS_AT_ONCE = 100_000
 #: Mean number of darts that a document should look at before it looks for more.
 DARTS = COORDINATES * (np.log(COORDINATES) + 2)
-#: The ends of the first tiles of the time axis; from 1 on every tile is one long.
-_ENDS = (2.0**-10, 2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2, 2.0**-1, 1.0)
+#: The ends of the first tiles of the time axis; after them each tile is as long as all before it.
+_ENDS = (2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2, 2.0**-1, 1.0)
 #: Rows of 256 bits of the Bloom filters that keep rows without a partner from being moved.
 FILTER_BLOCKS = 1 << 16
 _CACHED = 400_000
@@ -76,47 +80,46 @@ def regions(text: bytes) -> np.ndarray:
     return mix64(s + copy.astype(np.uint64) * _GOLD) if copy.any() else mix64(s)
 
 
-def _poisson(u: np.ndarray, mean: float) -> np.ndarray:
-    """Poisson numbers by inversion of uniform ones."""
-    out, term = np.zeros(len(u), np.int64), np.exp(-mean)
-    total = term
+@lru_cache(maxsize=64)
+def _poisson_table(mean: float) -> np.ndarray:
+    """Cumulative Poisson probabilities; a uniform number's place in them is a Poisson number."""
+    k = np.arange(int(mean + 12 * mean**0.5 + 30))
+    return np.cumsum(np.exp(k * np.log(mean) - mean - np.array([math.lgamma(x + 1) for x in k])))
+
+
+def signatures_of(regions_of: list[np.ndarray]) -> np.ndarray:
+    """One row a document: the earliest dart of each coordinate, as 32-bit names. No document is without regions."""
+    n, sizes = len(regions_of), np.array([len(r) for r in regions_of], np.int64)
+    names, doc = np.concatenate(regions_of), np.repeat(np.arange(n), sizes)
+    best, dart = np.full(n * COORDINATES, np.inf), np.zeros(n * COORDINATES, np.uint64)
+    wanted, going = DARTS / sizes, np.ones(n, bool)
+    begin, tile = 0.0, 0
     while True:
-        more = u >= total
-        if not more.any() or term < 1e-18:
-            return out
-        out += more
-        term *= mean / (out.max())
-        total += term
-
-
-def signature(names: np.ndarray) -> np.ndarray:
-    """The earliest dart of each coordinate, as 32-bit names; ``names`` is not empty."""
-    best, dart = np.full(COORDINATES, np.inf), np.zeros(COORDINATES, np.uint64)
-    begin, tile, wanted = 0.0, 0, DARTS / len(names)
-    while begin < wanted or np.isinf(best).any():
-        end = _ENDS[tile] if tile < len(_ENDS) else begin + 1.0
+        end = _ENDS[tile] if tile < len(_ENDS) else 2 * begin
         h = mix64(names + np.uint64((tile + 1) * int(_GOLD) & _MASK))
-        number = _poisson((h >> np.uint64(11)).astype(np.float64) * 2.0**-53, end - begin)
+        number = np.searchsorted(_poisson_table(end - begin), (h >> np.uint64(11)).astype(np.float64) * 2.0**-53, side="right")
         hit = np.flatnonzero(number)
-        if len(hit):
-            number = number[hit]
-            which = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-            d = mix64(np.repeat(h[hit], number) ^ mix64(which.astype(np.uint64) + np.uint64(1)))
-            moment = begin + (end - begin) * ((d >> np.uint64(24)).astype(np.float64) * 2.0**-40)
-            place = (mix64(d) >> np.uint64(32)).astype(np.int64) * COORDINATES >> 32
-            order = np.lexsort((moment, place))
-            first = order[np.concatenate([[True], place[order][1:] != place[order][:-1]])]
-            better = first[moment[first] < best[place[first]]]
-            best[place[better]], dart[place[better]] = moment[better], d[better]
+        number = number[hit]
+        which = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+        d = mix64(np.repeat(h[hit], number) ^ mix64(which.astype(np.uint64) + np.uint64(1)))
+        moment = begin + (end - begin) * ((d >> np.uint64(24)).astype(np.float64) * 2.0**-40)
+        place = np.repeat(doc[hit], number) * COORDINATES + ((mix64(d) >> np.uint64(32)).astype(np.int64) * COORDINATES >> 32)
+        np.minimum.at(best, place, moment)
+        first = moment == best[place]
+        dart[place[first]] = d[first]
         begin, tile = end, tile + 1
-    return dart.astype(np.uint32)
+        going &= (begin < wanted) | np.isinf(best.reshape(n, COORDINATES)).any(axis=1)
+        if not going.any():
+            return dart.astype(np.uint32).reshape(n, COORDINATES)
+        stay = going[doc]
+        names, doc = names[stay], doc[stay]
 
 
 def bands_of(sig: np.ndarray) -> np.ndarray:
-    """One 64-bit hash for each band of a signature."""
-    h = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in sig.reshape(BANDS, ROWS).T:
-        h = mix64(h * np.uint64(31) + column)
+    """One 64-bit hash for each band of each signature (rows)."""
+    h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sig), BANDS))
+    for k in range(ROWS):
+        h = mix64(h * np.uint64(31) + sig.reshape(len(sig), BANDS, ROWS)[:, :, k])
     return h.view(np.int64)
 
 
@@ -127,17 +130,19 @@ def signatures(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             data, at = utf8(b.column(1))
-            whole, seen = data.tobytes(), {}
-            keys, bands, shingles = [], [], []
-            for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                text = whole[lo:hi]
-                key = hashlib.md5(text).digest()
-                if key not in seen:
-                    names = regions(text)
-                    seen[key] = (bands_of(signature(names)), np.unique(names.astype(np.uint32)).view(np.int32)) if len(names) else (None, None)
-                keys.append(key)
-                bands.append(seen[key][0])
-                shingles.append(seen[key][1])
+            whole = data.tobytes()
+            texts = [whole[lo:hi] for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            keys = [hashlib.md5(t).digest() for t in texts]
+            found = {}
+            for key, text in dict(zip(keys, texts, strict=True)).items():
+                if len(names := regions(text)):
+                    found[key] = names
+            sigs, order = {}, list(found)
+            ends = np.concatenate([[0], np.cumsum([len(found[k]) for k in order])]).astype(np.int64)
+            for lo, hi in slices(ends, REGIONS_AT_ONCE):
+                sigs |= zip(order[lo:hi], bands_of(signatures_of([found[k] for k in order[lo:hi]])), strict=True)
+            shingles = {k: np.unique(v.astype(np.uint32)).view(np.int32) for k, v in found.items()}
+            bands, shingles = [sigs.get(k) for k in keys], [shingles.get(k) for k in keys]
             kinds = pa.list_(pa.int64()), pa.list_(pa.int32())
             yield pa.record_batch([b.column(0), pa.array(keys, pa.binary()), pa.array(bands, kinds[0]), pa.array(shingles, kinds[1])], names=["doc_id", "text_key", "bands", "shingles"])
 
