@@ -38,7 +38,7 @@ _BYTES, _GATHERED = 1 << 20, 600_000
 _GRAM = np.uint64((1 << 8 * (DEPTH + 1)) - 1)
 #: The end token's hash; no word hashes to it by construction (see _Words).
 _END = 0
-_CACHED = 400_000
+_CACHED = 250_000
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
