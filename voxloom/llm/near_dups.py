@@ -9,7 +9,8 @@ the first tiles of its regions.
 
 Signatures are cut into ``BANDS`` of ``ROWS`` coordinates. Equal texts are one row from the start. In a bucket of up to
 ``ALL_PAIRS`` texts all pairs are candidates; in a larger one each text is compared with one pivot, and those that
-are not similar to it are dealt again, by the bucket and every other band, until none is left. So no bucket is
+are not similar to it, nor linked to it through others, are dealt again, by the bucket and one of ``DEALT_BY`` more
+bands, until none is left. So no bucket is
 expanded into all its pairs, and none is cut. Candidates are checked by the exact similarity of their shingle
 multisets (32-bit hashes). Links become classes by alternating large-star and small-star steps.
 
@@ -36,7 +37,9 @@ from .url_filter import blocked_bloom, maybe_listed
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
 COORDINATES = BANDS * ROWS
-ALL_PAIRS = 32
+ALL_PAIRS = 8
+#: Bands that split a crowded bucket's unlike texts further.
+DEALT_BY = 4
 #: Regions whose darts a worker throws at once.
 REGIONS_AT_ONCE = 100_000
 #: Mean number of darts that a document should look at before it looks for more.
@@ -165,28 +168,33 @@ def similar(pairs: DataFrame, signed: DataFrame, least: float = SIMILARITY) -> D
 def links(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(a, b), a > b: checked links that connect all texts found similar. Written once."""
     texts = materialize(signed.where("bands is not null").groupBy("text_key").agg(F.first("bands").alias("bands")), "bands")
-    rows = texts.select("text_key", F.explode("bands").alias("bucket")).withColumn("used", F.array("bucket"))
+    rows = texts.select("text_key", F.posexplode("bands").alias("pos", "bucket"))
     out = None
     while True:
-        full = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        full = materialize(full, "full-buckets")
+        full = materialize(rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "full-buckets")
         members = maybe_listed(rows, "bucket", blocked_bloom(full.select("bucket"), FILTER_BLOCKS), FILTER_BLOCKS).join(full, "bucket")
         members = materialize(members, "bucket-members")
         small = members.where(F.col("n") <= ALL_PAIRS).groupBy("bucket").agg(F.array_sort(F.collect_set("text_key")).alias("m"))  # ALL_PAIRS at most
         small = small.select(F.explode(F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(y as a, x as b))))")).alias("p")).select("p.a", "p.b")
         crowd = members.where(F.col("n") > ALL_PAIRS)
-        pivots = crowd.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "text_key"), "text_key"))["text_key"].alias("pivot"))
+        # the text that meets most others is the likeliest centre of a group of copies
+        met = crowd.groupBy("text_key").agg(F.sum("n").alias("met"))
+        pivots = crowd.join(met, "text_key").groupBy("bucket").agg(F.max(F.struct("met", "text_key"))["text_key"].alias("pivot"))
         crowd = crowd.join(pivots, "bucket").where(F.col("text_key") != F.col("pivot"))
-        crowd = crowd.select("bucket", "used", "text_key", F.greatest("text_key", "pivot").alias("a"), F.least("text_key", "pivot").alias("b"))
+        crowd = crowd.select("bucket", "pos", "text_key", "pivot", F.greatest("text_key", "pivot").alias("a"), F.least("text_key", "pivot").alias("b"))
         crowd = materialize(crowd, "crowded-buckets")
         found = materialize(similar(small.union(crowd.select("a", "b")).distinct(), signed, least), "links")
         out = found if out is None else out.union(found)
-        left = crowd.join(found, ["a", "b"], "left_anti").select("text_key", "used")
+        left = crowd.join(found, ["a", "b"], "left_anti").select("text_key", "bucket", "pos", "pivot")
         if left.isEmpty():
             return out.distinct()
-        dealt = left.join(texts, "text_key").select("text_key", "used", F.explode(F.array_except("bands", "used")).alias("band"))
-        dealt = dealt.select("text_key", F.array_sort(F.concat("used", F.array("band"))).alias("used"))
-        rows = materialize(dealt.select("text_key", F.xxhash64("used").alias("bucket"), "used").distinct(), "dealt-again")
+        # texts that other links have brought to their pivot's class are done
+        roots = components(out.distinct())
+        left = left.join(roots, "text_key", "left").join(roots.toDF("pivot", "_pivot_root"), "pivot", "left")
+        left = left.where(~F.coalesce(F.coalesce("root", "text_key") == F.coalesce("_pivot_root", "pivot"), F.lit(False)))
+        more = F.transform(F.sequence(F.lit(1), F.lit(DEALT_BY)), lambda k: F.pmod(F.col("pos") + k, F.lit(BANDS)))
+        dealt = left.select("text_key", "bucket", F.explode(more).alias("pos")).join(texts, "text_key")
+        rows = materialize(dealt.select("text_key", "pos", F.xxhash64("bucket", "pos", F.get("bands", F.col("pos"))).alias("bucket")).distinct(), "dealt-again")
 
 
 def components(edges: DataFrame) -> DataFrame:
