@@ -63,6 +63,20 @@ def test_crowded_buckets_lose_no_class(spark):
     assert {r.doc_id: r.class_id for r in op.classes(df).collect()} == {i: least[find(t)] for i, t in rows}
 
 
+def crowded(spark, sets, shared=(0,)):
+    """Signed texts that agree in the bands ``shared`` and in no other."""
+    bands = lambda k: [p + 1 if p in shared else 1000 * (k + 1) + p for p in range(op.BANDS)]
+    rows = [(k, bytearray(key), bands(k), list(map(int, s))) for k, (key, s) in enumerate(sets.items())]
+    return spark.createDataFrame(rows, "doc_id long, text_key binary, bands array<long>, shingles array<int>")
+
+
+def test_a_text_linked_to_the_pivot_links_others_of_its_bucket(spark):
+    # pivot "z"; x is 0.85 like it and y 0.72; y is like x alone
+    sets = {b"z": range(100), b"x": range(8, 108), b"y": range(16, 116)} | {b"o%d" % k: range(1000 * k, 1000 * k + 50) for k in range(1, 10)}
+    roots = {bytes(r.text_key): bytes(r.root) for r in op.components(op.links(crowded(spark, sets))).collect()}
+    assert roots == {b"y": b"x", b"z": b"x"}
+
+
 def test_signatures_estimate_the_weighted_similarity():
     a = [f"a{k}" for k in range(300)]
     b = a[:240] + [f"b{k}" for k in range(60)]
