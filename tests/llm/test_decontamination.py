@@ -44,3 +44,13 @@ def test_equals_brute_force(spark, texts, docs, no_docs, monkeypatch):
     near = {(r.text_hash, r.item_id) for r in op.proximity_matches(df, benchmark).collect()}
     hashes = {r.doc_id: r.text_hash for r in op.decontaminate(df, benchmark).collect()}
     assert (hashes[901], 1) in near and (hashes[900], 7) in near
+
+
+def test_the_end_of_an_item_is_not_a_whole_window(spark):
+    q = [f"q{k}" for k in range(20)]
+    # the first words stand elsewhere, so the last ones are the rarest of each window
+    docs = [(1, " ".join(q[13:])), (2, " x ".join(q[:13] * 5)), (3, " ".join(q[13:]) + " end"), (4, " ".join(q[7:]))]
+    items = [(1, " ".join(q))]
+    df, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = op.decontaminate(df, benchmark).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, ",".join(r["items"]), r.contaminated) for r in got) == brute(docs, items)

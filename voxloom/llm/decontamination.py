@@ -91,7 +91,7 @@ def phrase_hits(texts: DataFrame, found: DataFrame, anchor_rows: DataFrame, wind
     held = maybe_listed(texts, "text_hash", blocked_bloom(listed.select("text_hash"), FILTER_BLOCKS), FILTER_BLOCKS).dropDuplicates(["text_hash"])
     each = held.join(listed, "text_hash").select("text_hash", "words", F.explode("at").alias("at")).select("text_hash", "words", "at.item_no", "at.shift")
     each = each.join(F.broadcast(anchor_rows.select("item_no", "item_id", "item").dropDuplicates(["item_no"])), "item_no")
-    fits = F.expr(f"filter(sequence(greatest(0, -shift), greatest(0, -shift, size(item) - {window})), s -> shift + s >= 0 and slice(words, shift + s + 1, {window}) = slice(item, s + 1, {window}))")
+    fits = F.expr(f"filter(sequence(greatest(0, -shift), greatest(0, -shift, size(item) - {window})), s -> shift + s >= 0 and s + {window} <= size(item) and shift + s + {window} <= size(words) and slice(words, shift + s + 1, {window}) = slice(item, s + 1, {window}))")
     short = F.expr("if(shift >= 0 and slice(words, shift + 1, size(item)) = item, array(0), array())")  # an item shorter than a window is one window
     each = each.select("text_hash", "item_id", "shift", F.when(F.size("item") < window, short).otherwise(fits).alias("starts"), F.least(F.size("item"), F.lit(window)).alias("n"))
     hits = F.array_distinct(F.flatten(F.expr("transform(starts, s -> sequence(shift + s + 1, shift + s + n))")))
