@@ -77,6 +77,13 @@ def test_a_text_linked_to_the_pivot_links_others_of_its_bucket(spark):
     assert roots == {b"y": b"x", b"z": b"x"}
 
 
+def test_like_texts_unlike_the_pivot_are_compared_in_their_bucket(spark):
+    # u and v agree in two crowded bands alone and are like none of the others
+    sets = {b"u": range(100), b"v": range(10, 110)} | {b"z%02d" % k: range(1000 * k, 1000 * k + 50) for k in range(1, 12)}
+    found = op.links(crowded(spark, sets, (0, 10))).collect()
+    assert [(bytes(r.a), bytes(r.b)) for r in found] == [(b"v", b"u")]
+
+
 def test_signatures_estimate_the_weighted_similarity():
     a = [f"a{k}" for k in range(300)]
     b = a[:240] + [f"b{k}" for k in range(60)]

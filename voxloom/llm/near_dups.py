@@ -8,10 +8,9 @@ number of darts to be looked at is about COORDINATES * log(COORDINATES), however
 the first tiles of its regions.
 
 Signatures are cut into ``BANDS`` of ``ROWS`` coordinates. Equal texts are one row from the start. In a bucket of up to
-``ALL_PAIRS`` texts all pairs are candidates; in a larger one each text is compared with a pivot, and those that
-are not similar to it, nor linked to it through others, with the next of up to ``PIVOTS`` pivots. Then all pairs of the
-bucket that are still in different classes are candidates, linked texts included, but for those whose distances from a
-pivot differ by too much for them to be similar. So two similar texts that share a bucket always end in one class.
+``ALL_PAIRS`` texts all pairs are candidates; in a larger one each text is first compared with one pivot. Then all pairs
+of the bucket that are still in different classes are compared, linked texts included, block by block. So two similar
+texts that share a bucket always end in one class.
 Candidates are checked by the exact similarity of their shingle
 multisets (32-bit hashes). Links become classes by alternating large-star and small-star steps.
 
@@ -24,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +38,8 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
 COORDINATES = BANDS * ROWS
 ALL_PAIRS = 8
-#: Pivots of a crowded bucket at most; more or fewer change the work and not the links.
-PIVOTS = 3
-#: Tasks that share the texts of a bucket.
-SALTS = 16
+#: Texts that are compared with each other at once in a crowded bucket.
+BLOCK = 512
 #: Regions whose darts a worker throws at once.
 REGIONS_AT_ONCE = 100_000
 #: Mean number of darts that a document should look at before it looks for more.
@@ -155,8 +152,8 @@ def signatures(docs: DataFrame) -> DataFrame:
     return materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, text_key binary, bands array<long>, shingles array<int>"), "signatures")
 
 
-def measured(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """(a, b, likeness): the weighted Jaccard similarity of the shingle multisets of each of the (a, b) pairs of text keys.
+def similar(pairs: DataFrame, signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The (a, b) pairs of text keys whose shingle multisets have a weighted Jaccard similarity of ``least`` or more.
 
     A Bloom filter of the keys in ``pairs`` keeps the shingles of other texts from being moved.
     """
@@ -164,18 +161,8 @@ def measured(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     side = maybe_listed(signed.where("shingles is not null").select("text_key", "shingles"), "text_key", blocked_bloom(keys, FILTER_BLOCKS), FILTER_BLOCKS)
     side = side.dropDuplicates(["text_key"])
     both = pairs.join(side.toDF("a", "sa"), "a").join(side.toDF("b", "sb"), "b")
-    both = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("shared"), (F.size("sa") + F.size("sb")).alias("sizes"))
-    return both.select("a", "b", (F.col("shared") / (F.col("sizes") - F.col("shared"))).alias("likeness"))
-
-
-def similar(pairs: DataFrame, signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The (a, b) pairs of text keys whose shingle multisets have a weighted Jaccard similarity of ``least`` or more."""
-    return measured(pairs, signed).where(F.col("likeness") >= least).select("a", "b")
-
-
-def _classed(rows: DataFrame, out: DataFrame) -> DataFrame:
-    """``rows`` with column root: the class that the links ``out`` give to text_key (itself without links)."""
-    return rows.join(components(out.distinct()), "text_key", "left").withColumn("root", F.coalesce("root", "text_key"))
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return both.where(shared / (F.size("sa") + F.size("sb") - shared) >= least).select("a", "b")
 
 
 def links(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -187,51 +174,59 @@ def links(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     members = materialize(members, "bucket-members")
     small = members.where(F.col("n") <= ALL_PAIRS).groupBy("bucket").agg(F.array_sort(F.collect_set("text_key")).alias("m"))  # ALL_PAIRS at most
     small = small.select(F.explode(F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(y as a, x as b))))")).alias("p")).select("p.a", "p.b")
-    crowd = members.where(F.col("n") > ALL_PAIRS).select("bucket", "text_key", "n", F.expr("cast(array() as array<double>)").alias("away"))
-    out, settled, pairs = None, [], small
-    for _ in range(PIVOTS):
-        # the text that meets most others is the likeliest centre of a group of copies
-        met = crowd.groupBy("text_key").agg(F.sum("n").alias("met"))
-        pivots = crowd.join(met, "text_key").groupBy("bucket").agg(F.max(F.struct("met", "text_key"))["text_key"].alias("pivot"))
-        crowd = materialize(crowd.join(pivots, "bucket").withColumns({"a": F.greatest("text_key", "pivot"), "b": F.least("text_key", "pivot")}), "crowded-buckets")
-        near = materialize(measured(pairs.union(crowd.where("a <> b").select("a", "b")).distinct(), signed), "likeness")
-        found = near.where(F.col("likeness") >= least).select("a", "b")
-        out = found if out is None else out.union(found)
-        # the pivot itself is at no distance
-        crowd = crowd.join(near, ["a", "b"], "left").withColumn("away", F.concat("away", F.array(F.when(F.col("a") == F.col("b"), F.lit(0.0)).otherwise(1 - F.col("likeness")))))
-        crowd = _classed(crowd.select("bucket", "text_key", "n", "away", "pivot"), out)
-        at = crowd.where(F.col("text_key") == F.col("pivot")).select("bucket", F.col("root").alias("pivot_root"))
-        crowd = materialize(crowd.join(at, "bucket").select("bucket", "text_key", "n", "away", (F.col("root") == F.col("pivot_root")).alias("joined")), "dealt")
-        settled.append(crowd.where("joined").drop("joined"))
-        crowd = crowd.where("not joined").drop("joined")
-        again = crowd.groupBy("bucket").agg(F.count("*").alias("left")).where(F.col("left") > ALL_PAIRS).select("bucket")
-        settled.append(crowd.join(again, "bucket", "left_anti"))
-        crowd, pairs = materialize(crowd.join(again, "bucket"), "unlike"), small.limit(0)
-        if crowd.isEmpty():
-            break
-    else:
-        settled.append(crowd)
-    rest = materialize(similar(_across(reduce(DataFrame.union, settled), out, least), signed, least), "links")
-    return out.union(rest).distinct()
-
-
-def _across(rows: DataFrame, out: DataFrame, least: float) -> DataFrame:
-    """(a, b): the pairs of one bucket that the links ``out`` leave in different classes and that may be similar.
-
-    One minus the similarity is a metric, so two texts whose distances from any pivot differ by more than 1 - ``least``
-    are not similar; no other pair of texts is left out. ``rows`` has away: the distances from the bucket's pivots.
+    crowd = members.where(F.col("n") > ALL_PAIRS)
+    # the text that meets most others is the likeliest centre of a group of copies
+    met = crowd.groupBy("text_key").agg(F.sum("n").alias("met"))
+    pivots = crowd.join(met, "text_key").groupBy("bucket").agg(F.max(F.struct("met", "text_key"))["text_key"].alias("pivot"))
+    crowd = materialize(crowd.join(pivots, "bucket").select("bucket", "text_key", "pivot"), "crowded-buckets")
+    pairs = crowd.where("text_key <> pivot").select(F.greatest("text_key", "pivot").alias("a"), F.least("text_key", "pivot").alias("b"))
+    found = materialize(similar(small.union(pairs).distinct(), signed, least), "links")
+    return found.union(materialize(_across(crowd, components(found), signed, least), "links-across")).distinct()
+
+
+def _across(crowd: DataFrame, roots: DataFrame, signed: DataFrame, least: float) -> DataFrame:
+    """(a, b): the similar pairs of each crowded bucket whose texts ``roots`` has in different classes.
+
+    Of two classes one at least is not the pivot's, so each text outside the pivot's class is compared with all texts
+    of the bucket, in blocks of at most about ``BLOCK`` by ``BLOCK``.
     """
-    wide = 1 - least
-    rows = materialize(_classed(rows.select("bucket", "text_key", "away"), out).withColumn("zone", F.floor(F.get("away", F.lit(0)) / (wide + 1e-6))), "classed")
-    # of two classes one at least is not the class of the bucket's first pivot
-    main = rows.where(F.get("away", F.lit(0)) == 0).groupBy("bucket").agg(F.min("root").alias("main"))
-    few = rows.join(main, "bucket").where("root <> main").select("bucket", "zone", F.col("text_key").alias("x"), F.col("root").alias("x_root"), F.col("away").alias("x_away"))
-    few = few.withColumn("zone", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda k: F.col("zone") + k)))
-    few = few.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    many = rows.withColumn("_salt", F.pmod(F.xxhash64("text_key"), F.lit(SALTS)))
-    apart = F.exists(F.arrays_zip("away", "x_away"), lambda d: F.abs(d["away"] - d["x_away"]) > wide + 1e-9)
-    met = many.join(few, ["bucket", "zone", "_salt"]).where((F.col("root") != F.col("x_root")) & ~F.coalesce(apart, F.lit(False)))
-    return met.select(F.greatest("text_key", "x").alias("a"), F.least("text_key", "x").alias("b")).distinct()
+    rows = crowd.join(roots, "text_key", "left").join(roots.toDF("pivot", "_main"), "pivot", "left")
+    rows = rows.select("bucket", "text_key", F.coalesce("root", "text_key").alias("root"), F.coalesce("_main", "pivot").alias("_main"))
+    rows = materialize(rows.withColumn("other", F.col("root") != F.col("_main")).drop("_main"), "classed")
+    mixed = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("n_all"), F.ceil(F.count_if("other") / BLOCK).alias("n_other")).where("n_other > 0")
+    rows = rows.join(mixed, "bucket")
+    side = maybe_listed(signed.where("shingles is not null").select("text_key", "shingles"), "text_key", blocked_bloom(rows.select("text_key"), FILTER_BLOCKS), FILTER_BLOCKS)
+    rows = rows.join(side.dropDuplicates(["text_key"]), "text_key")
+    own = lambda n: F.pmod(F.xxhash64("text_key"), F.col(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    others = rows.where("other").select("bucket", own("n_other").alias("i"), each("n_all").alias("j"), "text_key", "root", "shingles")
+    everyone = rows.select("bucket", each("n_other").alias("i"), own("n_all").alias("j"), "text_key", "root", "shingles")
+
+    def sets(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        lists = pa.concat_arrays(t["shingles"].chunks)
+        return lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
+
+    def compare(x: pa.Table, y: pa.Table) -> pa.Table:
+        a, b = [], []
+        if len(x) and len(y):
+            (xs, x_at), (ys, y_at) = sets(x), sets(y)
+            names, code = np.unique(np.concatenate([xs, ys]), return_inverse=True)
+            xs, ys, held = code[: len(xs)], code[len(xs) :], np.zeros(len(names), np.int32)
+            x_keys, y_keys, x_roots, y_roots = (t[c].to_pylist() for c in ("text_key", "root") for t in (x, y))
+            for k, key in enumerate(x_keys):
+                own = xs[x_at[k] : x_at[k + 1]]
+                held[own] = 1
+                shared = np.add.reduceat(held[ys], y_at[:-1])
+                held[own] = 0
+                for other in np.flatnonzero(shared / (len(own) + np.diff(y_at) - shared) >= least).tolist():
+                    if x_roots[k] != y_roots[other]:
+                        a.append(max(key, y_keys[other]))
+                        b.append(min(key, y_keys[other]))
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    on = ("bucket", "i", "j")
+    others = others.toDF(*everyone.columns)  # columns of its own
+    return others.groupBy(*on).cogroup(everyone.groupBy(*on)).applyInArrow(compare, "a binary, b binary").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
