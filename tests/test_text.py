@@ -95,3 +95,11 @@ def test_pause_punctuation(spark):
     got = {r.k: r.text for r in stages.pause_punctuation(with_rejects(df)).collect()}
     assert got == {k: spec_punct(t, i, 0.3, 0.8) for k, t, i in rows}
     assert any(got[k] != t for k, t, _ in rows) and re.search("。", "".join(got.values()))
+
+
+def test_edit_distance_beyond_the_surrogates(spark):
+    # 36,000 distinct units; two of the last ones stand in the wrong order, so one of them matches at most
+    units = lambda *at: F.array(*(F.concat(F.lit("u"), F.lit(str(k))) for k in at))
+    a = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.concat(F.lit("u"), k.cast("string")))
+    row = spark.range(1).select(F.lit(36000).alias("n")).select(a.alias("a"), units(35501, 35500).alias("b"), units(35500, 35501).alias("c"))
+    assert tuple(row.select(tx.edit_distance(F.col("a"), F.col("b")), tx.edit_distance(F.col("a"), F.col("c"))).first()) == (35999, 35998)

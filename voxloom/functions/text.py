@@ -52,11 +52,17 @@ def let(value: Column, use) -> Column:
 
 
 def edit_distance(a: Column, b: Column) -> Column:
-    """Levenshtein distance of two arrays of strings: each distinct unit becomes one character."""
+    """Levenshtein distance of two arrays of strings: each distinct unit becomes one character from U+4E00, surrogates
+    left out. An error beyond the 1,092,096 distinct units a pair that Unicode has room for."""
 
     def coded(x: Column) -> Column:
-        as_text = lambda units: F.array_join(F.transform(units, lambda u: F.decode(F.unhex(F.lpad(F.hex(F.array_position(x["words"], u) + 19967), 4, "0")), "UTF-16BE")), "")
-        return F.levenshtein(as_text(x["a"]), as_text(x["b"]))
+        as_text = lambda units: F.array_join(F.transform(units, lambda u: code(F.array_position(x["words"], u))), "")
+        too_many = F.raise_error(F.lit("edit_distance: more than 1,092,096 distinct units")).cast("int")
+        return F.when(F.size(x["words"]) > 1_092_096, too_many).otherwise(F.levenshtein(as_text(x["a"]), as_text(x["b"])))
+
+    def code(position: Column) -> Column:
+        at = position + 19967 + F.when(position > 35328, F.lit(2048)).otherwise(F.lit(0))
+        return F.decode(F.unhex(F.lpad(F.hex(at), 8, "0")), "UTF-32")
 
     pair = F.struct(a.alias("a"), b.alias("b"))
     return let(let(pair, lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), F.array_distinct(F.concat(x["a"], x["b"])).alias("words"))), coded)
