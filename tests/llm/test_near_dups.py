@@ -3,11 +3,12 @@ from collections import Counter
 
 import numpy as np
 
+from voxloom.llm import _common
 from voxloom.llm import near_dups as op
 
 
 def shingles(text):
-    w = (text or "").encode().lower().translate(op._CLEAN).split()
+    w = (text or "").encode().lower().translate(_common.CLEAN).split()
     return Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else None
 
 
@@ -66,8 +67,8 @@ def test_crowded_buckets_lose_no_class(spark):
 def crowded(spark, sets, shared=(0,)):
     """Signed texts that agree in the bands ``shared`` and in no other."""
     bands = lambda k: [p + 1 if p in shared else 1000 * (k + 1) + p for p in range(op.BANDS)]
-    rows = [(k, bytearray(key), bands(k), list(map(int, s))) for k, (key, s) in enumerate(sets.items())]
-    return spark.createDataFrame(rows, "doc_id long, text_key binary, bands array<long>, shingles array<int>")
+    rows = [(k, bytearray(key), bands(k), list(map(int, s)), len(s)) for k, (key, s) in enumerate(sets.items())]
+    return spark.createDataFrame(rows, "doc_id long, text_key binary, bands array<long>, shingles array<int>, size int")
 
 
 def test_a_text_linked_to_the_pivot_links_others_of_its_bucket(spark):
@@ -93,3 +94,32 @@ def test_signatures_estimate_the_weighted_similarity():
     assert abs((sx == sy).mean() - exact) < 0.12 and (sx == op.signatures_of([x])[0]).all()
     twice = op.regions(b"x y " * 30)
     assert len(twice) == len(set(twice.tolist())) == 56
+
+
+def test_no_link_is_lost_round_a_hot_base(spark):
+    # a is 0.93 like the base or more and joins its class; b is like its own a (0.8 or more), yet not like the base
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(400)]
+    put = lambda words, places, tag: [f"{tag}{k}" if k in places else w for k, w in enumerate(words)]
+    rows = [(0, " ".join(base))]
+    for k in range(60):
+        rows.append((100 + k, " ".join(put(base, {int(rng.integers(400))}, f"n{k}_"))))
+    for k in range(40):
+        a = put(base, {50 + 3 * k}, f"a{k}_")
+        b = put(a, set(range(200 + k, 200 + k + 50)), f"b{k}_")
+        rows += [(1000 + k, " ".join(a)), (2000 + k, " ".join(b))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    least, find, _ = brute(df.collect())
+    assert {r.doc_id: r.class_id for r in op.classes(df).collect()} == {i: least[find(t)] for i, t in rows}
+
+
+def test_fractional_weights():
+    rng = np.random.default_rng(2)
+    names = rng.integers(1, 1 << 63, 300).astype(np.uint64)
+    x, y = rng.uniform(0.1, 3, 300), rng.uniform(0.1, 3, 300)
+    exact = np.minimum(x, y).sum() / np.maximum(x, y).sum()
+    (nx, wx), (ny, wy) = op.weighted_regions(names, x), op.weighted_regions(names, y)
+    sx, sy = op.signatures_of([nx, ny], [wx, wy])
+    assert abs((sx == sy).mean() - exact) < 0.12
+    whole = op.weighted_regions(names, np.full(300, 2.0))
+    assert (op.signatures_of([whole[0]], [whole[1]]) == op.signatures_of([whole[0]])).all()

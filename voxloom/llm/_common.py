@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Bytes of text that a worker takes from an Arrow batch at once, and about as many that a cache of its may hold.
+TEXT_BYTES, CACHE_BYTES = 4 << 20, 48 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +74,64 @@ def slices(offsets: np.ndarray, most: int):
         lo = hi
 
 
+def by_bytes(batches, column: int, most: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in order, in batches with about ``most`` bytes in the text column ``column`` (one row at least)."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        for lo, hi in slices(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), most):
+            yield b.slice(lo, hi - lo)
+
+
+_HELD: dict[Hashable, Any] = {}
+
+
+def held(name: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once a worker process. A worker, which Spark uses again for other stages, holds one such
+    object (a cache, a tokenizer) at a time: asking for another name drops the last one and returns its memory."""
+    if name not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+class WordHashes(dict):
+    """Word bytes to 64-bit hashes; keeps about ``CACHE_BYTES``."""
+
+    room = CACHE_BYTES
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word)
+        if self.room > 0:
+            self.room -= len(word) + 180
+            self[word] = h
+        return h
+
+
+_KEEP = bytes(range(97, 123)) + bytes(range(48, 58)) + bytes(range(128, 256))
+CLEAN = bytes(b if b in _KEEP else 32 for b in range(256))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """uint64 hashes of a text's words: runs of letters (A-Z lower-cased), digits and bytes beyond ASCII."""
+    words = text.lower().translate(CLEAN).split()
+    return np.fromiter(map(held("words", WordHashes).__getitem__, words), np.uint64, len(words))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (the public splitmix64 constants); uint64 in and out."""
     x = x ^ (x >> np.uint64(30))

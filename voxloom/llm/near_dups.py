@@ -8,11 +8,13 @@ number of darts to be looked at is about COORDINATES * log(COORDINATES), however
 the first tiles of its regions.
 
 Signatures are cut into ``BANDS`` of ``ROWS`` coordinates. Equal texts are one row from the start. In a bucket of up to
-``ALL_PAIRS`` texts all pairs are candidates; in a larger one each text is first compared with one pivot. Then all pairs
-of the bucket that are still in different classes are compared, linked texts included, block by block. So two similar
-texts that share a bucket always end in one class.
-Candidates are checked by the exact similarity of their shingle
-multisets (32-bit hashes). Links become classes by alternating large-star and small-star steps.
+``ALL_PAIRS`` texts all pairs are candidates; in a larger one each text is first compared with one pivot. Then all texts
+of crowded buckets that are still in other classes than their pivots are compared with all texts of the pivots' buckets,
+linked ones included, in blocks dealt to many tasks. Only texts that cannot be similar to any of them are left out: the
+distance (one less similarity) is a metric, so two similar texts have distances to the pivot that differ by one less
+the least similarity at most. So two similar texts that share a bucket of any size always end in one class.
+Candidates are checked by the exact similarity of their shingle multisets (32-bit hashes). Links become classes by
+alternating large-star and small-star steps.
 
 Defined results: texts without words (null: empty) are duplicates only of equal texts; a class is named by its least
 doc_id (null if it has none); repeated rows stay separate rows of one class; other columns are ignored by ``classes``
@@ -27,19 +29,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import join_facts, materialize, mix64, slices, table, utf8
+from ._common import by_bytes, fresh, join_facts, materialize, mix64, slices, table, utf8, word_hashes
 from .url_filter import blocked_bloom, maybe_listed
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
 COORDINATES = BANDS * ROWS
 ALL_PAIRS = 8
-#: Texts that are compared with each other at once in a crowded bucket.
-BLOCK = 512
+#: Texts, and shingles, of each side that are compared at once among those of crowded buckets.
+BLOCK, BLOCK_SHINGLES = 512, 400_000
 #: Regions whose darts a worker throws at once.
 REGIONS_AT_ONCE = 100_000
 #: Mean number of darts that a document should look at before it looks for more.
@@ -48,29 +49,14 @@ DARTS = COORDINATES * (np.log(COORDINATES) + 2)
 _ENDS = (2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2, 2.0**-1, 1.0)
 #: Rows of 256 bits of the Bloom filters that keep rows without a partner from being moved.
 FILTER_BLOCKS = 1 << 16
-_CACHED = 400_000
-
-
-class _Words(dict):
-    """Word bytes to 64-bit hashes; a worker keeps a bounded number."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < _CACHED:
-            self[word] = h
-        return h
-
-
-_WORDS = _Words()
-_KEEP = bytes(range(97, 123)) + bytes(range(48, 58)) + bytes(range(128, 256))
-_CLEAN = bytes(b if b in _KEEP else 32 for b in range(256))
+#: Texts that a task remembers, so that it signs copies once.
+REMEMBERED = 100_000
 _GOLD, _MASK = np.uint64(0x9E3779B97F4A7C15), (1 << 64) - 1
 
 
 def regions(text: bytes) -> np.ndarray:
     """The 64-bit names of a text's unit regions: (shingle, copy) pairs."""
-    words = text.lower().translate(_CLEAN).split()
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    h = word_hashes(text)
     if not len(h):
         return h
     n = max(1, len(h) - SHINGLE_WORDS + 1)
@@ -90,12 +76,25 @@ def _poisson_table(mean: float) -> np.ndarray:
     return np.cumsum(np.exp(k * np.log(mean) - mean - np.array([math.lgamma(x + 1) for x in k])))
 
 
-def signatures_of(regions_of: list[np.ndarray]) -> np.ndarray:
-    """One row a document: the earliest dart of each coordinate, as 32-bit names. No document is without regions."""
+def weighted_regions(elements: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names and widths of the regions of distinct elements (uint64) with weights above 0: unit regions, the last of them
+    as wide as what is left. A heavier element's regions are those of a lighter one and more."""
+    n = np.ceil(weights).astype(np.int64)
+    of = np.repeat(np.arange(len(elements)), n)
+    copy = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    return mix64(elements[of] + copy.astype(np.uint64) * _GOLD), np.minimum(1.0, weights[of] - copy)
+
+
+def signatures_of(regions_of: list[np.ndarray], widths_of: list[np.ndarray] | None = None) -> np.ndarray:
+    """One row a document: the earliest dart of each coordinate, as 32-bit names. No document is without regions.
+
+    widths_of: how much of each unit region the document covers (None: all of it); darts beside it are not its own.
+    """
     n, sizes = len(regions_of), np.array([len(r) for r in regions_of], np.int64)
     names, doc = np.concatenate(regions_of), np.repeat(np.arange(n), sizes)
+    width = None if widths_of is None else np.concatenate(widths_of)
     best, dart = np.full(n * COORDINATES, np.inf), np.zeros(n * COORDINATES, np.uint64)
-    wanted, going = DARTS / sizes, np.ones(n, bool)
+    wanted, going = DARTS / (sizes if widths_of is None else np.array([w.sum() for w in widths_of])), np.ones(n, bool)
     begin, tile = 0.0, 0
     while True:
         end = _ENDS[tile] if tile < len(_ENDS) else 2 * begin
@@ -107,6 +106,9 @@ def signatures_of(regions_of: list[np.ndarray]) -> np.ndarray:
         d = mix64(np.repeat(h[hit], number) ^ mix64(which.astype(np.uint64) + np.uint64(1)))
         moment = begin + (end - begin) * ((d >> np.uint64(24)).astype(np.float64) * 2.0**-40)
         place = np.repeat(doc[hit], number) * COORDINATES + ((mix64(d) >> np.uint64(32)).astype(np.int64) * COORDINATES >> 32)
+        if width is not None:
+            own = mix64(d ^ _GOLD).astype(np.float64) * 2.0**-64 < np.repeat(width[hit], number)
+            d, moment, place = d[own], moment[own], place[own]
         np.minimum.at(best, place, moment)
         first = moment == best[place]
         dart[place[first]] = d[first]
@@ -115,7 +117,7 @@ def signatures_of(regions_of: list[np.ndarray]) -> np.ndarray:
         if not going.any():
             return dart.astype(np.uint32).reshape(n, COORDINATES)
         stay = going[doc]
-        names, doc = names[stay], doc[stay]
+        names, doc, width = names[stay], doc[stay], None if width is None else width[stay]
 
 
 def bands_of(sig: np.ndarray) -> np.ndarray:
@@ -127,48 +129,59 @@ def bands_of(sig: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, bands, shingles): text_key is the text's MD5; bands is null without words; shingles are distinct
-    32-bit names of the regions. Written once."""
+    """(doc_id, text_key, bands, shingles, size): text_key is the text's MD5; shingles are distinct 32-bit names of the
+    regions, ``size`` of them. The last three are null without words and where the task has signed the text before. Written once."""
 
     def run(batches):
-        for b in batches:
+        signed: set[bytes] = set()
+        for b in by_bytes(batches, 1):
             data, at = utf8(b.column(1))
             whole = data.tobytes()
             texts = [whole[lo:hi] for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             keys = [hashlib.md5(t).digest() for t in texts]
-            found = {}
-            for key, text in dict(zip(keys, texts, strict=True)).items():
-                if len(names := regions(text)):
-                    found[key] = names
-            sigs, order = {}, list(found)
-            ends = np.concatenate([[0], np.cumsum([len(found[k]) for k in order])]).astype(np.int64)
+            found: dict[int, np.ndarray] = {}
+            for row, key in enumerate(keys):
+                if key not in signed:
+                    if len(names := regions(texts[row])):
+                        found[row] = names
+                    if len(signed) < REMEMBERED:
+                        signed.add(key)
+            rows, bands, shingles = list(found), [None] * len(keys), [None] * len(keys)
+            ends = np.concatenate([[0], np.cumsum([len(found[k]) for k in rows])]).astype(np.int64)
             for lo, hi in slices(ends, REGIONS_AT_ONCE):
-                sigs |= zip(order[lo:hi], bands_of(signatures_of([found[k] for k in order[lo:hi]])), strict=True)
-            shingles = {k: np.unique(v.astype(np.uint32)).view(np.int32) for k, v in found.items()}
-            bands, shingles = [sigs.get(k) for k in keys], [shingles.get(k) for k in keys]
+                for row, mine in zip(rows[lo:hi], bands_of(signatures_of([found[k] for k in rows[lo:hi]])), strict=True):
+                    bands[row], shingles[row] = mine, np.unique(found[row].astype(np.uint32)).view(np.int32)
             kinds = pa.list_(pa.int64()), pa.list_(pa.int32())
-            yield pa.record_batch([b.column(0), pa.array(keys, pa.binary()), pa.array(bands, kinds[0]), pa.array(shingles, kinds[1])], names=["doc_id", "text_key", "bands", "shingles"])
+            size = pa.array([None if x is None else len(x) for x in shingles], pa.int32())
+            yield pa.record_batch([b.column(0), pa.array(keys, pa.binary()), pa.array(bands, kinds[0]), pa.array(shingles, kinds[1]), size], names=["doc_id", "text_key", "bands", "shingles", "size"])
 
-    return materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, text_key binary, bands array<long>, shingles array<int>"), "signatures")
+    schema = "doc_id long, text_key binary, bands array<long>, shingles array<int>, size int"
+    return materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema), "signatures")
 
 
-def similar(pairs: DataFrame, signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The (a, b) pairs of text keys whose shingle multisets have a weighted Jaccard similarity of ``least`` or more.
+def shingles_of(keys: DataFrame, signed: DataFrame) -> DataFrame:
+    """(text_key, shingles), one row for each of the texts whose keys ``keys`` holds, and perhaps others. Written once.
 
-    A Bloom filter of the keys in ``pairs`` keeps the shingles of other texts from being moved.
+    A Bloom filter of the keys keeps the shingles of most other texts from being moved.
+    """
+    side = signed.where("shingles is not null").select("text_key", "shingles")
+    return materialize(maybe_listed(side, "text_key", blocked_bloom(keys, FILTER_BLOCKS), FILTER_BLOCKS).dropDuplicates(["text_key"]), "shingles")
+
+
+def scored(pairs: DataFrame, side: DataFrame) -> DataFrame:
+    """(a, b, sim): the exact weighted Jaccard similarity of each (a, b) pair of text keys. Written once.
+
+    Both joins are of written tables, so that adaptive execution can split the rows of a key that many pairs have.
     """
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("text_key"))
-    side = maybe_listed(signed.where("shingles is not null").select("text_key", "shingles"), "text_key", blocked_bloom(keys, FILTER_BLOCKS), FILTER_BLOCKS)
-    side = side.dropDuplicates(["text_key"])
     both = pairs.join(side.toDF("a", "sa"), "a").join(side.toDF("b", "sb"), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(shared / (F.size("sa") + F.size("sb") - shared) >= least).select("a", "b")
+    return materialize(both.select("a", "b", (shared / (F.size("sa") + F.size("sb") - shared)).alias("sim")), "pairs")
 
 
 def links(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(a, b), a > b: checked links that connect all texts found similar. Written once."""
-    texts = materialize(signed.where("bands is not null").groupBy("text_key").agg(F.first("bands").alias("bands")), "bands")
-    rows = texts.select("text_key", F.explode("bands").alias("bucket"))
+    texts = signed.where("bands is not null").groupBy("text_key").agg(F.first("bands").alias("bands"), F.first("size").alias("size"))
+    rows = materialize(texts, "bands").select("text_key", "size", F.explode("bands").alias("bucket"))
     full = materialize(rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "full-buckets")
     members = maybe_listed(rows, "bucket", blocked_bloom(full.select("bucket"), FILTER_BLOCKS), FILTER_BLOCKS).join(full, "bucket")
     members = materialize(members, "bucket-members")
@@ -177,66 +190,86 @@ def links(signed: DataFrame, least: float = SIMILARITY) -> DataFrame:
     crowd = members.where(F.col("n") > ALL_PAIRS)
     # the text that meets most others is the likeliest centre of a group of copies
     met = crowd.groupBy("text_key").agg(F.sum("n").alias("met"))
-    pivots = crowd.join(met, "text_key").groupBy("bucket").agg(F.max(F.struct("met", "text_key"))["text_key"].alias("pivot"))
-    crowd = materialize(crowd.join(pivots, "bucket").select("bucket", "text_key", "pivot"), "crowded-buckets")
+    pivots = materialize(crowd.join(met, "text_key").groupBy("bucket").agg(F.max(F.struct("met", "text_key"))["text_key"].alias("pivot")), "pivots")
+    crowd = materialize(crowd.join(pivots, "bucket").select("bucket", "text_key", "size", "pivot"), "crowded-buckets")
     pairs = crowd.where("text_key <> pivot").select(F.greatest("text_key", "pivot").alias("a"), F.least("text_key", "pivot").alias("b"))
-    found = materialize(similar(small.union(pairs).distinct(), signed, least), "links")
-    return found.union(materialize(_across(crowd, components(found), signed, least), "links-across")).distinct()
+    side = shingles_of(members.select("text_key"), signed)
+    pairs = scored(materialize(small.union(pairs).distinct(), "candidates"), side)
+    found = materialize(pairs.where(F.col("sim") >= least).select("a", "b"), "links")
+    return found.union(materialize(_across(crowd, pairs, components(found), side, least), "links-across")).distinct()
 
 
-def _across(crowd: DataFrame, roots: DataFrame, signed: DataFrame, least: float) -> DataFrame:
-    """(a, b): the similar pairs of each crowded bucket whose texts ``roots`` has in different classes.
+def _across(crowd: DataFrame, pairs: DataFrame, roots: DataFrame, side: DataFrame, least: float) -> DataFrame:
+    """(a, b): similar pairs that join each text of crowded buckets to the classes of ``roots`` that it shares one with.
 
-    Of two classes one at least is not the pivot's, so each text outside the pivot's class is compared with all texts
-    of the bucket, in blocks of at most about ``BLOCK`` by ``BLOCK``.
+    Of two classes one at least is not the pivot's, so texts outside their pivots' classes are compared with all texts
+    of these buckets. Buckets whose pivots are of one class are one group, so that a text moves once for all of them. A
+    text that is nearer to its pivot than all texts outside the pivot's class by more than similar texts can be is left out.
     """
-    rows = crowd.join(roots, "text_key", "left").join(roots.toDF("pivot", "_main"), "pivot", "left")
-    rows = rows.select("bucket", "text_key", F.coalesce("root", "text_key").alias("root"), F.coalesce("_main", "pivot").alias("_main"))
-    rows = materialize(rows.withColumn("other", F.col("root") != F.col("_main")).drop("_main"), "classed")
-    mixed = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("n_all"), F.ceil(F.count_if("other") / BLOCK).alias("n_other")).where("n_other > 0")
-    rows = rows.join(mixed, "bucket")
-    side = maybe_listed(signed.where("shingles is not null").select("text_key", "shingles"), "text_key", blocked_bloom(rows.select("text_key"), FILTER_BLOCKS), FILTER_BLOCKS)
-    rows = rows.join(side.dropDuplicates(["text_key"]), "text_key")
+    apart = 1 - least + 1e-9
+    rows = crowd.join(pairs.select(F.explode(F.array(F.struct(F.col("a").alias("text_key"), F.col("b").alias("pivot"), "sim"), F.struct(F.col("b").alias("text_key"), F.col("a").alias("pivot"), "sim"))).alias("p")).select("p.*"), ["text_key", "pivot"], "left")
+    rows = rows.join(roots, "text_key", "left").join(roots.toDF("pivot", "_main"), "pivot", "left")
+    rows = rows.select("bucket", "text_key", "size", F.coalesce("root", "text_key").alias("root"), F.coalesce("_main", "pivot").alias("main"), (1 - F.coalesce("sim", F.lit(1.0))).alias("far"))
+    rows = materialize(rows.withColumn("other", F.col("root") != F.col("main")), "classed")
+    nearest = materialize(rows.where("other").groupBy("bucket").agg(F.min("far").alias("nearest")), "mixed-buckets")
+    rows = rows.join(nearest, "bucket").where(F.col("other") | (F.col("far") >= F.col("nearest") - apart))
+    rows = materialize(rows.select("main", "text_key", "size", "root", "other").distinct(), "groups")
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_SHINGLES))
+    own_size = F.sum(F.when(F.col("other"), F.col("size")))
+    number = materialize(rows.groupBy("main").agg(blocks(F.count("*"), F.sum("size")).alias("n_all"), blocks(F.count_if("other"), own_size).alias("n_other")), "blocks")
+    rows = materialize(rows.join(number, "main"), "dealt").join(side, "text_key")
     own = lambda n: F.pmod(F.xxhash64("text_key"), F.col(n))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    others = rows.where("other").select("bucket", own("n_other").alias("i"), each("n_all").alias("j"), "text_key", "root", "shingles")
-    everyone = rows.select("bucket", each("n_other").alias("i"), own("n_all").alias("j"), "text_key", "root", "shingles")
+    others = rows.where("other").select("main", own("n_other").alias("i"), each("n_all").alias("j"), "text_key", "root", "shingles")
+    everyone = rows.select("main", each("n_other").alias("i"), own("n_all").alias("j"), "text_key", "root", "shingles")
+    on = ("main", "i", "j")
+    others = others.toDF(*everyone.columns)  # columns of its own
+    return others.groupBy(*on).cogroup(everyone.groupBy(*on)).applyInArrow(_comparer(least), "a binary, b binary").distinct()
+
+
+def _comparer(least: float):
+    """Arrow function of two blocks: a link of each text of the first to each other class of the second that it is similar to."""
 
     def sets(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        lists = pa.concat_arrays(t["shingles"].chunks)
+        lists = t["shingles"].combine_chunks()
         return lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
 
     def compare(x: pa.Table, y: pa.Table) -> pa.Table:
         a, b = [], []
         if len(x) and len(y):
             (xs, x_at), (ys, y_at) = sets(x), sets(y)
-            names, code = np.unique(np.concatenate([xs, ys]), return_inverse=True)
-            xs, ys, held = code[: len(xs)], code[len(xs) :], np.zeros(len(names), np.int32)
+            names = np.unique(xs)  # shingles that the first block lacks are never shared
+            code = np.minimum(np.searchsorted(names, ys), len(names) - 1).astype(np.int32)
+            code[names[code] != ys] = len(names)
+            xs, held, sizes = np.searchsorted(names, xs), np.zeros(len(names) + 1, np.int8), np.diff(y_at)
             x_keys, y_keys, x_roots, y_roots = (t[c].to_pylist() for c in ("text_key", "root") for t in (x, y))
             for k, key in enumerate(x_keys):
-                own = xs[x_at[k] : x_at[k + 1]]
+                own, linked = xs[x_at[k] : x_at[k + 1]], {x_roots[k]}
                 held[own] = 1
-                shared = np.add.reduceat(held[ys], y_at[:-1])
+                shared = np.add.reduceat(held[code], y_at[:-1], dtype=np.int64)
                 held[own] = 0
-                for other in np.flatnonzero(shared / (len(own) + np.diff(y_at) - shared) >= least).tolist():
-                    if x_roots[k] != y_roots[other]:
+                for other in np.flatnonzero(shared / (len(own) + sizes - shared) >= least).tolist():
+                    if y_roots[other] not in linked:
+                        linked.add(y_roots[other])
                         a.append(max(key, y_keys[other]))
                         b.append(min(key, y_keys[other]))
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    on = ("bucket", "i", "j")
-    others = others.toDF(*everyone.columns)  # columns of its own
-    return others.groupBy(*on).cogroup(everyone.groupBy(*on)).applyInArrow(compare, "a binary, b binary").distinct()
+    return compare
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(text_key, root) of every text in the (a, b) edges, by large-star and small-star steps; each round is written."""
+    """(text_key, root) of every text in the (a, b) edges, by large-star and small-star steps; each round is written.
+
+    A text's least neighbours are written before they are joined to its edges, so that adaptive execution can split the
+    edges of a text that has many.
+    """
     edges, before = edges.select("a", "b"), None
     while True:
         both = edges.toDF("u", "v").union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "least")
+        large = materialize(both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), "large-star")
+        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         joined = large.join(least, "a")
         edges = joined.select("a", F.col("m").alias("b")).union(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
         edges = materialize(edges, "stars")
@@ -263,12 +296,13 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of every class: the one with the least doc_id."""
     columns = docs.columns
-    chosen = materialize(classes(docs, least).where("chosen").groupBy("doc_id", "text_key").agg(F.count("*").alias("_n")), "chosen")
-    keyed = docs.withColumn("_key", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
-    names = chosen.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"))
-    kept = keyed.join(names, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text")), "left_semi")
-    if not chosen.where("_n > 1").isEmpty():  # repeated rows
-        kept = kept.dropDuplicates(["doc_id", "_key"])
+    key, own_id, own_key = fresh(docs, "key", "own_id", "own_key")
+    chosen = materialize(classes(docs.select("doc_id", "text"), least).where("chosen").groupBy("doc_id", "text_key").agg(F.count("*").alias("rows")), "chosen")
+    keyed = docs.withColumn(key, F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    names = chosen.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key))
+    kept = keyed.join(names, F.col("doc_id").cast("long").eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_key)), "left_semi")
+    if not chosen.where("rows > 1").isEmpty():  # repeated rows
+        kept = kept.dropDuplicates(["doc_id", key])
     return kept.select(*columns)
 
 
