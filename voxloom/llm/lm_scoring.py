@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import crc_of, materialize, mix64, slices, table, utf8
+from ._common import CACHE_BYTES, crc_of, held, materialize, mix64, slices, table, utf8
 
 DEPTH = 5
 FOLDS, HELD_OUT = 7, 2
@@ -38,24 +38,23 @@ _BYTES, _GATHERED = 1 << 20, 600_000
 _GRAM = np.uint64((1 << 8 * (DEPTH + 1)) - 1)
 #: The end token's hash; no word hashes to it by construction (see _Words).
 _END = 0
-_CACHED = 250_000
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
 class _Words(dict):
-    """Token bytes to signed 64-bit hashes, never the end token's; a worker keeps a bounded number."""
+    """Token bytes to signed 64-bit hashes, never the end token's; keeps about ``CACHE_BYTES``."""
+
+    room = CACHE_BYTES
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
         h = (h - (1 << 64) if h >> 63 else h) or 1
-        if len(self) < _CACHED:
+        if self.room > 0:
+            self.room -= len(word) + 180
             self[word] = h
         return h
 
 
-_WORDS = _Words()
-
-
 def _grams(data: np.ndarray, at: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
     """The grams of texts lo..hi (each led by DEPTH zero bytes and followed by one, the end mark) and where each text's begin."""
     sizes = np.diff(at[lo : hi + 1])
@@ -93,7 +92,8 @@ def _tokens(data: np.ndarray, at: np.ndarray, lo: int, hi: int) -> tuple[np.ndar
     out = np.full(int(sizes.sum()), _END, np.int64)
     inside = np.ones(len(out), bool)
     inside[np.cumsum(sizes) - 1] = False
-    out[inside] = np.fromiter((h for w in words for h in map(_WORDS.__getitem__, w)), np.int64, len(out) - (hi - lo))
+    known = held("tokens", _Words).__getitem__
+    out[inside] = np.fromiter((h for w in words for h in map(known, w)), np.int64, len(out) - (hi - lo))
     return out, sizes
 
 

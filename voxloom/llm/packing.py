@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import wordbpe
-from ._common import materialize, mix64, table, texts_of
+from ._common import by_bytes, materialize, mix64, table, texts_of
 
 LENGTH = 2048
 END_ID = 1
@@ -79,14 +79,12 @@ def tokenized(docs: DataFrame, tokenizer_path: str | None = None, end_id: int =
 
     def run(batches):
         bpe, points, end = wordbpe.load(path), _points_of_ids(), np.array([end_id], "<u2").tobytes()
-        for b in batches:
+        for b in by_bytes(batches, 1):
             raw, at = [], []
             for text in texts_of(b.column(1)):
                 ids = bpe.ids(text)
                 at.append(curve_key(np.frombuffer(ids, "<u2"), points))
                 raw.append(ids + end)
-            if not raw:
-                continue
             salt = np.array([zlib.crc32(str(i).encode()) for i in b.column(0).to_pylist()], np.int64)
             key = (hilbert_index(np.array(at).reshape(-1, DIMS), BITS) << _TIE) | (salt & ((1 << _TIE) - 1))
             yield pa.record_batch([b.column(0), pa.array(key), pa.array([len(r) // 2 for r in raw], pa.int64()), pa.array(raw, pa.binary())], names=["doc_id", "key", "n", "ids"])

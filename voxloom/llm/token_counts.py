@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import wordbpe
-from ._common import materialize, table, texts_of
+from ._common import by_bytes, materialize, table, texts_of
 
 SEPARATOR = 49407
 BLOCK_TOKENS = 1 << 19
@@ -53,7 +53,7 @@ def flatten(docs: DataFrame, tokenizer_path: str | None = None, separator: int =
             names = ("file_id", "block_no", "tokens", "first_ordinal", "doc_ids")
             return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-        for b in batches:
+        for b in by_bytes(batches, 1):
             blocks = []
             for text in texts_of(b.column(1)):
                 held += bpe.ids(text)

@@ -7,20 +7,20 @@ Labels come from at most ``MOST_TRAINING`` rows, chosen by the hash of doc_id; s
 never look at labels, lang, source or doc_id.
 
 Defined results: a null or empty text has the score of the bias alone; a null doc_id counts as the empty text for the
-fold; labels that are null, or that disagree for one doc_id, are left out of training; repeated rows stay; without labelled rows all
-scores are 0.5; other columns are ignored by ``score`` and kept by ``reject``; an empty table gives no rows.
+fold; labels that are null, or that disagree for one doc_id, are left out of training; of several texts with one doc_id the
+least is trained on; repeated rows stay; without labelled rows all
+scores are 0.5; other columns are kept, but for one that ``score`` replaces by its own; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import crc_of, mix64, table, utf8
+from ._common import by_bytes, crc_of, fresh, mix64, table, utf8, word_hashes
 
 HASH_BITS = 20
 MOST_TRAINING = 16_000
@@ -29,29 +29,11 @@ THRESHOLD = 0.7
 ALPHA, BETA, L2, PASSES = 1.0, 1.0, 0.1, 4
 #: L1 is a thousandth of the number of training rows, within these bounds.
 LEAST_L1, MOST_L1 = 0.5, 8.0
-_CACHED = 500_000
-
-
-class _Words(dict):
-    """Lower-cased word bytes to 64-bit hashes; a worker keeps a bounded number."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < _CACHED:
-            self[word] = h
-        return h
-
-
-_WORDS = _Words()
-_KEEP = bytes(range(97, 123)) + bytes(range(48, 58)) + bytes(range(128, 256))
-_CLEAN = bytes(b if b in _KEEP else 32 for b in range(256))
 
 
 def features(text: bytes) -> np.ndarray:
     """Distinct hashed coordinates of a text's words, pairs and skip-pairs."""
-    words = text.lower().translate(_CLEAN).split()
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    return np.unique(_coordinates(h))
+    return np.unique(_coordinates(word_hashes(text)))
 
 
 def _coordinates(h: np.ndarray) -> np.ndarray:
@@ -94,10 +76,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_training: int = MOST_TRAINING)
     agreed = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most"))
     agreed = agreed.where((F.col("toxic") == F.col("_most")) & (crc_of(F.col("doc_id")) % FOLDS != HELD_OUT))
     sample = agreed.select("doc_id", F.col("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_training)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
 
     def found(batches):
-        for b in batches:
+        for b in by_bytes(batches, 2):
             yield pa.record_batch([b.column(0), b.column(1), pa.array([features(t).astype(np.int32) for t in _texts(b.column(2))], pa.list_(pa.int32()))], names=["doc_id", "toxic", "at"])
 
     def learn(batches):
@@ -120,9 +102,9 @@ def fit(docs: DataFrame, labels: DataFrame, most_training: int = MOST_TRAINING)
     return learned["at"].to_numpy(np.int64), learned["w"].to_numpy(float), float(bias.iloc[0]) if len(bias) else 0.0
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataFrame:
-    """``docs`` with toxic_score, from 0 to 1 (replacing a column of that name)."""
-    docs = docs.drop("toxic_score")
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], name: str = "toxic_score") -> DataFrame:
+    """``docs`` with column ``name``, the score from 0 to 1 (replacing a column of that name)."""
+    docs = docs.drop(name)
     columns, sent = docs.columns, docs.sparkSession.sparkContext.broadcast(model)
     i = columns.index("text")
 
@@ -130,21 +112,18 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataF
         at, w, bias = sent.value
         dense = np.zeros(1 << HASH_BITS)
         dense[at] = w
-        for b in batches:
+        for b in by_bytes(batches, i):
             margins = np.array([bias + dense[features(t)].sum() for t in _texts(b.column(i))])
             p = 1 / (1 + np.exp(-np.clip(margins, -35, 35)))
-            yield pa.record_batch([*b.columns, pa.array(p, pa.float64())], names=[*columns, "toxic_score"])
-
-    return docs.mapInArrow(run, _with(docs, "toxic_score"))
-
+            yield pa.record_batch([*b.columns, pa.array(p, pa.float64())], names=[*columns, name])
 
-def _with(docs: DataFrame, name: str) -> T.StructType:
-    return T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score under ``threshold``."""
-    return score(docs, fit(docs, labels)).where(F.col("toxic_score") < threshold).drop("toxic_score")
+    (own,) = fresh(docs, "own_score")
+    return score(docs, fit(docs, labels), own).where(F.col(own) < threshold).drop(own)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

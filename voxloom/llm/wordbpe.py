@@ -10,17 +10,16 @@ from __future__ import annotations
 import array
 import json
 import re
-from functools import lru_cache
 
 import numpy as np
 
+from ._common import CACHE_BYTES, held
+
 #: What the quick path takes: printable ASCII, \t, \n, \r and precomposed Latin letters whose lower case is one letter.
 _OTHER = re.compile("[^\t\n\r -~À-ÖØ-öø-įı-ſ]")
 _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\\sa-z0-9ß-öø-ſ]+")
 #: A byte that UTF-8 never uses stands for the end of a word.
 _END = b"\xff"
-#: Chunks that a worker keeps; beyond that, new ones are encoded each time.
-CACHED_CHUNKS = 400_000
 
 
 def default_path() -> str:
@@ -37,7 +36,9 @@ def _bytes_of_symbols() -> dict[str, int]:
 
 
 class WordBpe(dict):
-    """Maps a lower-cased chunk to its ids as bytes (little-endian uint16)."""
+    """Maps a lower-cased chunk to its ids as bytes (little-endian uint16); keeps about ``CACHE_BYTES`` of them."""
+
+    room = CACHE_BYTES
 
     def __init__(self, path: str):
         import tiktoken
@@ -61,7 +62,8 @@ class WordBpe(dict):
         for word in _WORDS.findall(chunk):
             ids.extend(self._piece(word.encode() + _END))
         out = ids.tobytes()
-        if len(self) < CACHED_CHUNKS:
+        if self.room > 0:
+            self.room -= len(chunk) + len(out) + 180
             self[chunk] = out
         return out
 
@@ -72,7 +74,6 @@ class WordBpe(dict):
         return b"".join(map(self.__getitem__, text.lower().split()))
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> WordBpe:
-    """One instance a worker process and path."""
-    return WordBpe(path)
+    """The tokenizer of a worker process, made once."""
+    return held(("word-bpe", path), lambda: WordBpe(path))
