@@ -1,5 +1,6 @@
-import hashlib
+import random
 import re
+from collections import Counter
 
 from voxloom.llm import decontamination as op
 
@@ -41,9 +42,52 @@ def test_equals_brute_force(spark, texts, docs, no_docs, monkeypatch):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(x[0] for x in want if not x[5])
     assert op.decontaminate(no_docs, benchmark).collect() == []
     assert not [r for r in op.decontaminate(df, benchmark.limit(0)).collect() if r.n_hit]
-    near = {(r.text_hash, r.item_id) for r in op.proximity_matches(df, benchmark).collect()}
-    hashes = {r.doc_id: r.text_hash for r in op.decontaminate(df, benchmark).collect()}
-    assert (hashes[901], 1) in near and (hashes[900], 7) in near
+    assert sorted(map(str, (r.doc_id for r in got if r.n_near < r.n_items))) == []
+
+
+def rarest(x, start, frequency):
+    """The two rarest places of a window, by (frequency, place)."""
+    places = sorted(range(start, min(start + 13, len(x))), key=lambda k: (frequency[x[k]], k))
+    return places[0], places[min(1, len(places) - 1)]
+
+
+def brute_near(docs, items, slop=4):
+    frequency, out = Counter(t for _, text in docs for t in words(text)), []
+    for i, text in docs:
+        w, ids = words(text), set()
+        for item_id, item in items:
+            x = words(item)
+            for s in range(max(1, len(x) - 12) if x else 0):
+                p, q = rarest(x, s, frequency)
+                if any(a == x[p] and b == x[q] and abs(m - n) <= abs(q - p) + slop for m, a in enumerate(w) for n, b in enumerate(w)):
+                    ids.add(item_id)
+        out.append((i, len(ids)))
+    return sorted(out)
+
+
+def test_an_index_is_kept_and_grows(spark, tmp_path):
+    rng = random.Random(8)
+    vocabulary = [f"v{k}" for k in range(60)]
+    docs = [(k, " ".join(rng.choices(vocabulary, k=50))) for k in range(12)]
+    items = [(1, " ".join(docs[0][1].split()[5:30])), (2, " ".join(rng.choices(vocabulary, k=20))), (3, "v7 v9"), (4, " ".join(docs[11][1].split()[:14]))]
+    frame = lambda rows, name: spark.createDataFrame(rows, f"{name} long, text string")
+    index = op.build_index(frame(docs[:6], "doc_id"), f"file://{tmp_path}/index")
+    result = lambda found: sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, ",".join(r["items"]), r.contaminated) for r in found)
+    assert result(op.search(index, frame(items[:2], "item_id")).collect()) == brute(docs[:6], items[:2])
+    stored = index.terms.count()
+    assert result(op.search(index, frame(items[:2], "item_id")).collect()) == brute(docs[:6], items[:2]) and index.terms.count() == stored
+    op.add_documents(index, frame(docs[6:], "doc_id"))
+    found = op.search(op.open_index(spark, index.path), frame(items, "item_id")).collect()
+    assert result(found) == brute(docs, items)
+    assert sorted((r.doc_id, r.n_near) for r in found) == brute_near(docs, items)
+
+
+def test_a_very_long_item(spark):
+    rng = random.Random(9)
+    item = [f"t{rng.randrange(50_000)}" for _ in range(20_000)]
+    docs = [(1, " ".join(item[500:700])), (2, " ".join(item)), (3, "x y z"), (4, " ".join(item[100:112]))]
+    got = op.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert sorted((r.doc_id, r.n_hit) for r in got.collect()) == [(1, 200), (2, 20_000), (3, 0), (4, 0)]
 
 
 def test_the_end_of_an_item_is_not_a_whole_window(spark):
