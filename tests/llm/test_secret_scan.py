@@ -21,16 +21,34 @@ def test_equals_brute_force(spark, docs, clash, no_docs):
         (3, None), (4, "token=a token = abcdef=token=abcdef"),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string").unionByName(docs.select("doc_id", "text"))
-    got = op.findings(df).collect()
-    want = sorted((str(r.doc_id), hashlib.sha256((r.text or "").encode()).hexdigest(), base(r.text)) for r in df.collect())
-    mine = sorted((str(r.doc_id), r.blob, [f"{s.kind}:{s.start}:{s.stop}" for s in r.spans if s.kind_no < 3]) for r in got)
+    ledger = op.open_ledger(spark)
+    assert ledger.update(df) == len({r.text or "" for r in df.collect()})
+    got = ledger.findings().collect()
+    want = sorted((str(r.doc_id), hashlib.sha256((r.text or "").encode()).digest(), base(r.text)) for r in df.collect())
+    mine = sorted((str(r.doc_id), bytes(r.blob), [f"{s.kind}:{s.start}:{s.stop}" for s in r.spans if s.kind_no < 3]) for r in got)
     assert mine == want
     assert {s.kind for r in got for s in r.spans} >= {"github", "pem", "assign", "access", "hex"}
-    ledger = op.update_ledger(df, None)
-    assert op.update_ledger(df, ledger).collect() == []
-    assert op.update_ledger(df, ledger, op.BASE).count() == ledger.count()
-    assert sorted(map(str, op.findings(df, ledger).collect())) == sorted(map(str, got))
-    assert op.findings(no_docs).collect() == [] and op.findings(clash).count() == clash.count()
+    empty, clashing = op.open_ledger(spark), op.open_ledger(spark)
+    assert empty.update(no_docs) == 0 and empty.findings().collect() == []
+    assert clashing.update(clash) > 0 and clashing.findings().count() == clash.count()
+
+
+def test_a_ledger_scans_each_blob_and_version_once(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    texts = [(k, f"text {k % 30} token=abcdef{k % 30}") for k in range(50)]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    assert op.open_ledger(spark, path).update(frame(texts), 1) == 30
+    ledger = op.open_ledger(spark, path)
+    assert ledger.update(frame(texts), 2) == 0  # nothing is new
+    later = [(k, "token=changed" if k < 5 else t) for k, t in texts] + [(50, "secret: zzzzzz"), (51, "secret: zzzzzz")]
+    assert ledger.update(frame(later), 3) == 2  # the changed text and the new one
+    assert ledger.update(frame(later), 4, op.BASE) == len({t for _, t in later})  # new rules: all blobs of the revision
+    assert ledger.scans().count() == 32 and ledger.scans().select("blob").distinct().count() == 32
+    for revision, rows in ((1, texts), (3, later)):
+        want = sorted((k, base(t)) for k, t in rows)
+        assert sorted((r.doc_id, [f"{s.kind}:{s.start}:{s.stop}" for s in r.spans]) for r in ledger.findings(revision).collect()) == want
+    assert ledger.history().count() == 50 + 50 + 52 + 52
+    assert {r.revision for r in ledger.history().where("doc_id = 0").collect()} == {1, 2, 3, 4}
 
 
 def test_query_counts(spark, tmp_path):

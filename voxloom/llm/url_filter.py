@@ -51,14 +51,14 @@ def blocked_bloom(keys: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     return marked.groupBy("block").agg(*(F.bit_or(f"w{w}").alias(f"w{w}") for w in range(_WORDS)))
 
 
-def maybe_listed(candidates: DataFrame, column: str, bloom: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """The candidates that pass the filter."""
+def maybe_listed(candidates: DataFrame, column: str, bloom: DataFrame, blocks: int = BLOCKS, passing: bool = True) -> DataFrame:
+    """The candidates that pass the filter, or those that do not."""
     key = F.col(column)
     hit = [F.col(f"b.w{w}").bitwiseAND(b) != 0 for w, b in enumerate(_bits(key))]
     on = F.pmod(F.xxhash64(key), F.lit(blocks)) == F.col("b.block")
     for h in hit:
         on = on & h
-    return candidates.join(F.broadcast(bloom.alias("b")), on, "left_semi")
+    return candidates.join(F.broadcast(bloom.alias("b")), on, "left_semi" if passing else "left_anti")
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, path_lengths: list[int], default: str = "allow", blocks: int = BLOCKS) -> DataFrame:
