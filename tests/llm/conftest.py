@@ -37,5 +37,5 @@ def clash(docs):
     """The same rows with columns whose names the operators use themselves."""
     from pyspark.sql import functions as F
 
-    names = ("vector", "words", "n", "key", "ids", "range", "score", "toxic_score", "n_lines", "blob", "spans", "rule", "host", "text_key", "bands", "pos", "term", "held_out", "_order", "_text")
+    names = ("vector", "words", "n", "key", "ids", "range", "score", "toxic_score", "n_lines", "blob", "spans", "rule", "host", "text_key", "bands", "pos", "term", "held_out", "_order", "_text", "_key", "_id", "_drop", "_text_hash", "own_id", "own_key", "own_score", "drop", "text_hash", "size", "root", "items")
     return docs.select("*", *(F.lit("x").alias(x) for x in names))

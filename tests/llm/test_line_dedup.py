@@ -34,12 +34,17 @@ def test_equals_brute_force(spark, docs, clash, no_docs):
                 got = op.dedup_lines(df, least, keep_first=first, most_keys=most).collect()
                 assert sorted((str(r.doc_id), r.text, r.n_lines, r.n_dropped) for r in got) == want
     assert op.dedup_lines(no_docs).collect() == []
-    out = op.dedup_lines(clash, 2)
-    assert out.count() == clash.count() and set(clash.columns) <= set(out.columns)
+    plain = sorted(map(str, op.dedup_lines(docs, 2).collect()))
+    for most in (op.MOST_KEYS, 0):
+        out = op.dedup_lines(clash, 2, most_keys=most)
+        others = [c for c in clash.columns if c not in (*docs.columns, "n_lines")]
+        assert out.columns == [*(c for c in clash.columns if c != "n_lines"), "n_lines", "n_dropped"]
+        assert sorted(map(str, out.select(*docs.columns, "n_lines", "n_dropped").collect())) == plain
+        assert {tuple(r) for r in out.select(*others).collect()} == {("x",) * len(others)}
 
 
 def test_twice_seen_holds_every_repeated_key(spark):
     df = spark.createDataFrame([(k, f"line {k % 50}\nown {k}") for k in range(100)], "doc_id long, text string").repartition(7)
     bits = op.twice_seen(df)
-    assert op._has(bits, op._bits(op._hashes([f"line {k}".encode() for k in range(50)]))).all()
-    assert op._has(bits, op._bits(op._hashes([f"own {k}".encode() for k in range(100)]))).sum() <= 2
+    assert op._has(bits, op._bits(op._hashes([f"line {k}".encode() for k in range(50)]), len(bits))).all()
+    assert op._has(bits, op._bits(op._hashes([f"own {k}".encode() for k in range(100)]), len(bits))).sum() <= 2

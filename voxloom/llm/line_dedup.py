@@ -3,12 +3,12 @@
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at its ends and with A-Z lower-cased. Every partition keeps two
 filters over the hashes of its documents' distinct keys: seen at least once and seen at least twice. The filters are
 merged chunk by chunk (a bit is twice-seen if it is so anywhere or once-seen in two places). Only keys that the merged
-twice-seen filter holds are shuffled, and counted exactly, with the first document that holds each. The filters have a
-fixed size, so merging and broadcasting them is bounded at any input; a crowded filter only sends more keys to the
-exact count.
+twice-seen filter holds are shuffled, and counted exactly, with the first document that holds each. The filters have
+``BITS_A_ROW`` bits a document up to ``MOST_BITS``, so merging and broadcasting them is bounded at any input; a crowded
+filter only sends more keys to the exact count.
 
 The keys to drop are broadcast if they are few (``MOST_KEYS``, ``MOST_BYTES``); beyond that they are joined to the
-texts that hold them, by the texts' hash.
+texts that hold them, by the texts' hash, a key's texts dealt to several tasks. Both ways give the same rows.
 
 Defined results: a null or empty text is one empty line; an empty key (or one shorter than ``least_chars``) is never
 dropped; a repeated row counts as a document of its own; a first holder is the least doc_id, and all rows with that
@@ -29,11 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import materialize, mix64, table
+from ._common import by_bytes, fresh, join_facts, materialize, mix64, table
 
 MIN_DOCS, LEAST_CHARS = 10, 1
-#: Each filter takes FILTER_BITS / 8 bytes; it is merged in chunks of CHUNK bytes, MERGED of them at a time.
-FILTER_BITS, PROBES, CHUNK, MERGED = 1 << 27, 2, 1 << 16, 256
+#: A filter has a power of two of bits within these bounds; it is merged in chunks of CHUNK bytes, MERGED of them at a time.
+BITS_A_ROW, LEAST_BITS, MOST_BITS = 512, 1 << 24, 1 << 29
+PROBES, CHUNK, MERGED = 2, 1 << 16, 256
 MOST_KEYS, MOST_BYTES = 200_000, 24_000_000
 
 
@@ -51,11 +52,11 @@ def _hashes(keys) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64)
 
 
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    """PROBES places in the filter for each hash."""
+def _bits(hashes: np.ndarray, size: int) -> np.ndarray:
+    """PROBES places in a filter of ``size`` bytes for each hash."""
     out = []
     for _ in range(PROBES):
-        out.append((hashes & np.uint64(FILTER_BITS - 1)).astype(np.int64))
+        out.append((hashes & np.uint64(8 * size - 1)).astype(np.int64))
         hashes = mix64(hashes)
     return np.array(out)
 
@@ -80,14 +81,15 @@ def _distinct(texts: list[bytes], least: int) -> list[bytes]:
 
 
 def twice_seen(docs: DataFrame, least_chars: int = LEAST_CHARS) -> np.ndarray:
-    """The merged filter of key hashes that two documents or more may hold, as FILTER_BITS / 8 bytes."""
+    """The merged filter of key hashes that two documents or more may hold, as bytes."""
     schema = "part long, chunk int, once binary, twice binary"
+    size = max(LEAST_BITS, min(MOST_BITS, 1 << (BITS_A_ROW * docs.count()).bit_length())) // 8
 
     def build(batches):
-        once, twice = np.zeros(FILTER_BITS // 8, np.uint8), np.zeros(FILTER_BITS // 8, np.uint8)
-        for b in batches:
+        once, twice = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
+        for b in by_bytes(batches, 0):
             found, n = np.unique(_hashes(_distinct(_raw(b.column(0)), least_chars)), return_counts=True)
-            at = _bits(found)
+            at = _bits(found, size)
             again = _has(once, at) | (n > 1)
             _set(twice, at[:, again])
             _set(once, at)
@@ -108,8 +110,8 @@ def twice_seen(docs: DataFrame, least_chars: int = LEAST_CHARS) -> np.ndarray:
     while n > 0:
         parts = parts.withColumn("part", F.expr(f"part div {MERGED}")).groupBy("part", "chunk").applyInPandas(merge, schema)
         n = (n - 1) // MERGED
-    out = np.zeros((FILTER_BITS // 8 // CHUNK, CHUNK), np.uint8)
-    for chunk, bits in parts.select("chunk", "twice").toLocalIterator():  # FILTER_BITS / 8 bytes at most
+    out = np.zeros((size // CHUNK, CHUNK), np.uint8)
+    for chunk, bits in parts.select("chunk", "twice").toLocalIterator():  # MOST_BITS / 8 bytes at most
         out[chunk] = np.frombuffer(zlib.decompress(bits), np.uint8)
     return out.ravel()
 
@@ -119,13 +121,13 @@ def repeated_keys(docs: DataFrame, min_docs: int = MIN_DOCS, least_chars: int =
     sent = docs.sparkSession.sparkContext.broadcast(twice_seen(docs, least_chars))
 
     def suspects(batches):
-        for b in batches:
+        for b in by_bytes(batches, 1):
             ids, keys, rows = b.column(0), [], []
             for row, text in enumerate(_raw(b.column(1))):
                 mine = _distinct([text], least_chars)
                 keys.extend(mine)
                 rows.extend([row] * len(mine))
-            hit = np.flatnonzero(_has(sent.value, _bits(_hashes(keys)))) if keys else np.zeros(0, np.int64)
+            hit = np.flatnonzero(_has(sent.value, _bits(_hashes(keys), len(sent.value)))) if keys else np.zeros(0, np.int64)
             yield pa.record_batch([pa.array([keys[k] for k in hit], pa.binary()), ids.take(pa.array(np.array(rows, np.int64)[hit]))], names=["key", "doc_id"])
 
     found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(suspects, "key binary, doc_id long")
@@ -137,7 +139,7 @@ def _dropper(columns: list[str], keep_first: bool, least: int, drops):
     i, d = columns.index("text"), columns.index("doc_id")
 
     def run(batches):
-        for b in batches:
+        for b in by_bytes(batches, i):
             kept, n_lines, n_dropped, ids = [], [], [], b.column(d).to_pylist()
             for row, text in enumerate(_raw(b.column(i))):
                 keys, drop, doc_id = keys_of(text, least), drops(b, row), ids[row]
@@ -170,22 +172,26 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, least_chars: int = LE
         sent = spark.sparkContext.broadcast({bytes(k): f for k, f in keys.collect()})
         return docs.mapInArrow(_dropper(columns, keep_first, least_chars, lambda b, row: sent.value), schema)
 
-    def held(batches):
-        for b in batches:
+    def lines(batches):
+        for b in by_bytes(batches, 1):
             hashes, found = [], []
             for h, text in zip(b.column(0).to_pylist(), _raw(b.column(1)), strict=True):
                 mine = _distinct([text], least_chars)
                 found.extend(mine)
                 hashes.extend([h] * len(mine))
-            yield pa.record_batch([pa.array(hashes, pa.string()), pa.array(found, pa.binary())], names=["_text", "key"])
+            yield pa.record_batch([pa.array(hashes, pa.binary()), pa.array(found, pa.binary())], names=["text_key", "key"])
 
-    address = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    pairs = docs.select(address.alias("_text"), "text").mapInArrow(held, "_text string, key binary").distinct()
-    lists = pairs.join(keys, "key").groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("key", "first"))).alias("_drop"))  # a group is one text's lines
-    joined = docs.withColumn("_text", address).join(lists, "_text", "left").select(*columns, "_drop")
-    run = _dropper([*columns, "_drop"], keep_first, least_chars, lambda b, row: dict(b.column(len(columns))[row].as_py() or ()))
-    wide = T.StructType([*docs.schema.fields, T.StructField("_drop", joined.schema["_drop"].dataType), *schema.fields[-2:]])
-    return joined.mapInArrow(run, wide).drop("_drop")
+    key, drop = fresh(docs, "text_key", "drop")
+    text_key = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    pairs = docs.select(text_key.alias("text_key"), "text").mapInArrow(lines, "text_key binary, key binary").distinct()
+    hits = join_facts(pairs, keys.withColumn("hit", F.lit(True)), "key", "text_key").where("hit")
+    lists = hits.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("key", "first"))).alias(drop))  # a group is one text's lines
+    # written, so that adaptive execution can split the rows of a text that has many copies
+    lists = materialize(lists, "lines-of-texts").withColumnRenamed("text_key", key)
+    joined = docs.withColumn(key, text_key).join(lists, key, "left").select(*columns, drop)
+    run = _dropper([*columns, drop], keep_first, least_chars, lambda b, row: dict(b.column(len(columns))[row].as_py() or ()))
+    wide = T.StructType([*docs.schema.fields, T.StructField(drop, joined.schema[drop].dataType), *schema.fields[-2:]])
+    return joined.mapInArrow(run, wide).drop(drop)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,15 +203,15 @@ QUERIES = {"op7_line_dedup": op7_line_dedup}
 SQL = {
     "op7_line_dedup": r"""
 WITH lines AS (
-  SELECT doc_id, i, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+  SELECT r, doc_id, i, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)
+  FROM (SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents))
 ), repeated AS (
-  SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+  SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10
 )
-SELECT doc_id, count(*)::BIGINT AS n_lines, count(r.key)::BIGINT AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE r.key IS NULL), '')) AS kept_sha256
-FROM lines l LEFT JOIN repeated r ON l.key = r.key GROUP BY doc_id
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(k.key)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE k.key IS NULL), '')) AS kept_sha256
+FROM lines l LEFT JOIN repeated k ON l.key = k.key GROUP BY r, doc_id
 """
 }
