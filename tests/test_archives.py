@@ -4,6 +4,7 @@ import os
 import tarfile
 
 import numpy as np
+import pytest
 
 from voxloom.functions import audio
 from voxloom.plans.config import Settings
@@ -137,3 +138,39 @@ def test_arrivals(spark, tmp_path):
     write(folder / "c.tar", [])
     process_arrivals(spark, str(folder), "*.tar", str(tmp_path / "ck"), seen.extend)
     assert [os.path.basename(p) for p in seen] == ["a.tar", "c.tar"]
+
+
+def test_a_broken_archive_leaves_the_others_finished(spark, tmp_path):
+    folder, out = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+    for name in ("a", "b", "c"):
+        write(folder / f"{name}.tar", [("x.json", meta(text=f"text {name}")), ("x.wav", wav(3))])
+    whole = (folder / "b.tar").read_bytes()
+    (folder / "b.tar").write_bytes(b"no archive" + whole[10:200])
+    settings = Settings({"duration": {"min_sec": 2.0, "max_sec": 30.0}})
+    with pytest.raises(RuntimeError, match="1 of 3 shards failed: b;"):
+        run_shards(spark, f"{folder}/*.tar", str(out), settings)
+    assert sinks.done_shards(str(out)) == ["a", "c"] and not (out / "b-clean.tar").exists()
+    before = (out / "a-clean.tar").stat().st_mtime_ns
+    (folder / "b.tar").write_bytes(whole)
+    assert run_shards(spark, f"{folder}/*.tar", str(out), settings) == "input=1 output=1"
+    assert sinks.done_shards(str(out)) == ["a", "b", "c"] and (out / "a-clean.tar").stat().st_mtime_ns == before
+
+
+def test_a_repeated_stem_and_a_repeated_name(spark, tmp_path):
+    write(tmp_path / "a.tar", [("x.json", meta(text="first")), ("x.json", meta(text="second")), ("x.wav", wav(1)), ("y.wav", wav(1)), ("y.wav", wav(2)), ("y.json", meta(text="y"))])
+    rows = {r.key: r for r in archives.read_samples(spark, f"{tmp_path}/a.tar").collect()}
+    assert rows["x"].text == "second" and bytes(rows["y"].audio) == wav(2)  # the latest before the pair is complete
+    (tmp_path / "more").mkdir()
+    write(tmp_path / "more" / "a.tar", [])
+    with pytest.raises(ValueError, match="two archives are called a"):
+        run_shards(spark, f"{tmp_path}/*.tar,{tmp_path}/more/*.tar", str(tmp_path / "out"), Settings({}))
+
+
+def test_audio_from_the_cache_first(spark, tmp_path):
+    shard_a(tmp_path)
+    (tmp_path / "cache" / "a").mkdir(parents=True)
+    (tmp_path / "cache" / "a" / "two.flac").write_bytes(b"kept")
+    drops = spark.createDataFrame([("a", "two"), ("a", "one")], "shard string, stem string")
+    found = archives.source_audio(spark, drops, f"{tmp_path}/a.tar", archives.read_cache(spark, str(tmp_path / "cache")))
+    assert {(r.stem, r.ext, bytes(r.payload)) for r in found.collect()} == {("two", "flac", b"kept"), ("one", "wav", wav(3))}

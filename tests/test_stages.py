@@ -34,15 +34,15 @@ def test_quality(spark):
     rows = [(1, {"PQ": 6.0, "CE": 1.0, "CU": 1.0, "PC": 9.0}), (2, {"PQ": 5.9996, "CE": 1.0, "CU": 1.0, "PC": 1.0}), (3, {"PQ": nan, "CE": nan, "CU": nan, "PC": nan}), (4, None), (5, {"PQ": 7.0, "CE": 0.5, "CU": 1.0, "PC": 9.0})]
     df = frame(spark, rows, "k int, quality map<string,double>")
     got = codes(stages.quality_filter(df, 6.0, 1.0, None, 8.0))
-    assert {k: c[1] for k, c in got.items()} == {1: "audiobox_PC", 2: "audiobox_PQ", 3: None, 4: None, 5: "audiobox_CE"}
+    assert {k: c[1] for k, c in got.items()} == {1: "audiobox_PC", 2: "audiobox_PQ", 3: None, 4: "audiobox_missing", 5: "audiobox_CE"}
     assert all(c[1] is None for c in codes(stages.quality_filter(df, None)).values())
 
 
 def test_speakers(spark):
-    rows = [(1, None), (2, []), (3, ["0.0 0.5 a", "junk", " 1.0 2.0 b "]), (4, ["0 0.49 a", "1 2 b"]), (5, ["0 0.3 a", "1 1.3 a", "2 4 b"]), (6, ["1.2.3 4 a", "0 1 b"])]
+    rows = [(1, None), (2, []), (3, ["0.0 0.5 a", "junk", " 1.0 2.0 b "]), (4, ["0 0.49 a", "1 2 b"]), (5, ["0 0.3 a", "1 1.3 a", "2 4 b"]), (6, ["1.2.3 4 a", "0 1 b"]), (7, ["0.0 5.0 a extra", "0 1 b", "1.2.3 9 b", "b"]), (8, ["0.0 5.0 a extra", "0 1 b"] + ["1 2 c"] * 3)]
     df = stages.speaker_filter(frame(spark, rows, "k int, segments array<string>"))
     got = {r.k: (r.diarization.num_speakers, r.reject_code) for r in df.collect()}
-    assert got == {1: (0, None), 2: (0, None), 3: (2, "multi_speaker"), 4: (1, None), 5: (2, "multi_speaker"), 6: (1, None)}
+    assert got == {1: (0, None), 2: (0, None), 3: (2, "multi_speaker"), 4: (1, None), 5: (2, "multi_speaker"), 6: (1, None), 7: (1, None), 8: (2, "multi_speaker")}
 
 
 def test_transcripts(spark):

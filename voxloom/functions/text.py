@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 SPACE = r"[\p{Z}\x09-\x0d\x1c-\x1f\x85]"
 CJK = r"\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}"
 
+#: Units whose places are gathered together.
+UNITS_AT_ONCE = 128
+
 # Fixed values.
 LANGUAGE_NAMES = {"zh": "Chinese", "en": "English", "ja": "Japanese", "ko": "Korean", "de": "German", "fr": "French"}
 WRITTEN_FORM = r"[\p{Nd}%℃$¥€]"
@@ -174,8 +177,14 @@ def unit_spans(text: Column, items: Column) -> Column:
         stop = found + F.length(unit)
         return F.struct(stop.alias("at"), (acc["ok"] & (found >= 0)).alias("ok"), F.concat(acc["spans"], F.array(F.struct(found.alias("start"), stop.alias("stop")))).alias("spans"))
 
-    folded = F.aggregate(items, begin, step)
-    return F.when(folded["ok"], folded["spans"])
+    def part(acc: Column, some: Column) -> Column:
+        # the spans of a few units are gathered on their own, so that the whole list is not copied for each unit
+        start = F.struct(acc["at"].alias("at"), acc["ok"].alias("ok"), begin["spans"].alias("spans"))
+        return let(F.aggregate(some, start, step), lambda x: F.struct(x["at"].alias("at"), x["ok"].alias("ok"), F.concat(acc["spans"], x["spans"]).alias("spans")))
+
+    firsts = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(UNITS_AT_ONCE))).otherwise(F.expr("cast(array() as array<int>)"))
+    folded = F.aggregate(F.transform(firsts, lambda i: F.slice(items, i, UNITS_AT_ONCE)), begin, part)
+    return let(folded, lambda x: F.when(x["ok"], x["spans"]))
 
 
 def pause_insertions(text: Column, items: Column, spans: Column, comma: float, period: float) -> Column:
@@ -195,7 +204,7 @@ def pause_insertions(text: Column, items: Column, spans: Column, comma: float, p
 
 def insert_marks(text: Column, marks: Column) -> Column:
     """``text`` with each mark's character put in at its place in the original text."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda acc, m: F.struct(m["pos"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, m["pos"] - acc["at"]), m["char"]).alias("out"))
-    folded = F.aggregate(marks, begin, step)
-    return F.concat(folded["out"], F.substring(text, folded["at"] + 1, F.length(text)))
+    before = lambda i: F.coalesce(F.get(marks, i - 1)["pos"], F.lit(0))
+    pieces = F.transform(marks, lambda m, i: F.concat(F.substring(text, before(i) + 1, m["pos"] - before(i)), m["char"]))
+    last = F.coalesce(F.try_element_at(marks, F.lit(-1))["pos"], F.lit(0))
+    return F.concat(F.array_join(pieces, ""), F.substring(text, last + 1, F.length(text)))

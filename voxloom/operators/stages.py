@@ -6,6 +6,9 @@ functions only judge it, so each can be checked against plain SQL.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +16,8 @@ from ..functions import text as tx
 from .reject import alive, reject
 
 EDGE_TOLERANCE = 0.05
-_SEGMENT = r"^([\d.]+)\s+([\d.]+)\s+(\S+)"
+# Fixed value: a speaker's line, whole; lines with more or less on them are not segments.
+_SEGMENT = r"^([\d.]+)\s+([\d.]+)\s+(\S+)$"
 
 
 def duration_filter(df: DataFrame, min_sec: float = 2.0, max_sec: float = 30.0, require_text: bool = True) -> DataFrame:
@@ -26,28 +30,27 @@ def duration_filter(df: DataFrame, min_sec: float = 2.0, max_sec: float = 30.0,
 
 
 def quality_filter(df: DataFrame, min_pq: float | None = 6.5, min_ce: float | None = None, min_cu: float | None = None, max_pc: float | None = None) -> DataFrame:
-    """Judges the scores of the map ``quality`` (PQ, CE, CU, PC); stores them in ``audiobox`` with three decimals. NaN passes."""
-    cases = []
+    """Judges the scores of the map ``quality`` (PQ, CE, CU, PC); stores them in ``audiobox`` with three decimals. NaN passes;
+    a row without scores, or without one that is judged, is rejected as audiobox_missing."""
+    cases, judged = [], []
     for axis, least, most in (("PQ", min_pq, None), ("CE", min_ce, None), ("CU", min_cu, None), ("PC", None, max_pc)):
         score = F.try_element_at("quality", F.lit(axis))
         if least is not None or most is not None:
             bad = score < least if least is not None else score > most
             cases.append((bad & ~F.isnan(score), f"audiobox_{axis}", score))
+            judged.append(score.isNull())
     df = df.withColumn("audiobox", F.when(alive(), F.transform_values("quality", lambda _, v: F.round(v, 3))))
-    return reject(df, "audiobox", cases) if cases else df
+    return reject(df, "audiobox", [*cases, (reduce(or_, judged), "audiobox_missing", F.lit(None))]) if cases else df
 
 
 def speaker_seconds(segments: Column) -> Column:
-    """map<speaker, seconds> of 'start end speaker' lines; other lines are passed over."""
+    """map<speaker, seconds> of 'start end speaker' lines; other lines, and those whose numbers are none (1.2.3), are passed over."""
     lines = F.filter(F.transform(F.coalesce(segments, F.expr("cast(array() as array<string>)")), tx.strip), lambda s: F.rlike(s, F.lit(_SEGMENT)))
     parts = F.transform(lines, lambda s: F.struct(F.regexp_extract(s, _SEGMENT, 3).alias("who"), (F.regexp_extract(s, _SEGMENT, 2).try_cast("double") - F.regexp_extract(s, _SEGMENT, 1).try_cast("double")).alias("sec")))
-    empty = F.expr("cast(map() as map<string, double>)")
-
-    def add(acc: Column, x: Column) -> Column:
-        rest = F.map_filter(acc, lambda k, _: k != x["who"])
-        return F.map_concat(rest, F.map_from_arrays(F.array(x["who"]), F.array(F.coalesce(F.try_element_at(acc, x["who"]), F.lit(0.0)) + x["sec"])))
-
-    return F.aggregate(parts, empty, add)
+    parts = F.filter(parts, lambda x: x["sec"].isNotNull())
+    total = lambda rows, who: F.aggregate(F.filter(rows, lambda x: x["who"] == who), F.lit(0.0), lambda s, x: s + x["sec"])
+    who = lambda rows: F.array_distinct(F.transform(rows, lambda x: x["who"]))
+    return tx.let(parts, lambda rows: F.map_from_arrays(who(rows), F.transform(who(rows), lambda w: total(rows, w))))
 
 
 def speaker_filter(df: DataFrame, max_speakers: int = 1, min_speaker_sec: float = 0.5) -> DataFrame:

@@ -77,7 +77,12 @@ def build_steps(settings: Settings, backends: dict | None = None) -> list[Step]:
 
         out.append(Step("asr_wer", asr))
     if s := settings.section("tn"):
-        out.append(Step("tn", lambda df, s=s: stages.text_rewrite(model(df, "rewrite", ["text", "asr"], s.get("batch_size", 8), tx.needs_rewrite(F.col("text"))))))
+
+        def rewrite(df, s=s):
+            df = df if "orig_text" in df.columns else df.withColumn("orig_text", F.lit(None).cast("string"))
+            return stages.text_rewrite(model(df, "rewrite", ["text", "orig_text"], s.get("batch_size", 8), tx.needs_rewrite(F.col("text"))))
+
+        out.append(Step("tn", rewrite))
     if s := settings.section("align"):
 
         def align(df, s=s):

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import audio
 from ..functions import text as tx
 from ..operators import listing, packs, pairing, stages
 from ..operators import reject as rj
+from ..sources import archives, sinks
+from . import config
 from . import synthetic as syn
 
 _REJECT = ("key", "reject_stage", "reject_code", "reject_value")
@@ -37,7 +42,7 @@ def speaker_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def transcript_filter(spark: SparkSession, sf: str) -> DataFrame:
-    df = syn.with_transcript(syn.samples(spark, sf)).withColumn("before", F.col("text"))
+    df = syn.with_transcript(syn.utterances(spark, sf)).withColumn("before", F.col("text"))
     errors = tx.edit_distance(tx.to_units(F.col("before"), True), tx.to_units(F.col("transcript.text"), True))
     df = stages.transcript_filter(df, 0.2, phonetic=False, compatible=True)
     return df.select("key", "reject_code", errors.alias("errors"), F.size(tx.to_units(F.col("before"), True)).alias("n_units"), F.col("orig_text").isNotNull().alias("adopted"), F.md5("text").alias("text_md5"))
@@ -50,17 +55,17 @@ def text_rewrite(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pause_filter(spark: SparkSession, sf: str) -> DataFrame:
-    df = stages.pause_filter(syn.with_alignment(syn.samples(spark, sf)))
+    df = stages.pause_filter(syn.with_alignment(syn.utterances(spark, sf)))
     return df.select(*_REJECT, F.col("pause.head_silence").alias("head"), F.col("pause.tail_silence").alias("tail"))
 
 
 def edge_trim(spark: SparkSession, sf: str) -> DataFrame:
-    df = stages.apply_trim(stages.trim_plan(syn.with_alignment(syn.samples(spark, sf))))
+    df = stages.apply_trim(stages.trim_plan(syn.with_alignment(syn.utterances(spark, sf))))
     return df.select("key", F.col("trim").isNotNull().alias("trimmed"), F.col("trim.cut_head").alias("cut_head"), F.col("trim.cut_tail").alias("cut_tail"), F.col("trim.pad_head").alias("pad_head"), F.col("trim.pad_tail").alias("pad_tail"), "duration", F.get("alignment", F.lit(0))["start"].alias("first_start"))
 
 
 def pause_punctuation(spark: SparkSession, sf: str) -> DataFrame:
-    df = syn.with_alignment(syn.samples(spark, sf))
+    df = syn.with_alignment(syn.utterances(spark, sf))
     df = stages.pause_punctuation(df.withColumn("text", F.array_join(F.transform("alignment", lambda x: x["text"]), "")))
     return df.select("key", F.coalesce("punct_fix.n_inserted", F.lit(0)).alias("n_inserted"), "text")
 
@@ -121,7 +126,7 @@ def pack_manifest(spark: SparkSession, sf: str) -> DataFrame:
 def _rows(spark: SparkSession, sf: str) -> DataFrame:
     df = _judged(spark, sf)
     wer = F.when(F.col("doc_id") % 7 != 0, syn.ms("doc_id * 37 % 400"))
-    asr = F.struct(F.reverse(F.substring("text", 1, 12)).alias("text"), wer.alias("wer"))
+    asr = F.struct(F.reverse("text").alias("text"), wer.alias("wer"))
     return df.withColumns({"asr": asr, "stage": F.col("reject_stage"), "passed": rj.alive(), "orig_text": F.when(F.col("doc_id") % 5 == 0, F.reverse("text")), "alignment": F.expr("cast(null as array<struct<text:string,start:double,end:double>>)")})
 
 
@@ -162,9 +167,7 @@ def row_detail(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def shard_log(spark: SparkSession, sf: str) -> DataFrame:
-    from ..sources.sinks import shard_log as log
-
-    return log(spark, _judged(spark, sf)).select("shard", "n_in", "n_out")
+    return sinks.shard_log(spark, _judged(spark, sf)).select("shard", "n_in", "n_out")
 
 
 def stage_throughput(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,10 +192,127 @@ def event_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return events.withColumn("gap", gap).groupBy("user_id").agg(F.count("*").alias("n"), F.max("gap").alias("max_gap_us"))
 
 
+def listing_key_page(spark: SparkSession, sf: str) -> DataFrame:
+    return listing.page(listing.select_rows(_rows(spark, sf), True), listing.sort_order("key", True), 0).select("shard", "key")
+
+
+def listing_aligned(spark: SparkSession, sf: str) -> DataFrame:
+    df = syn.with_alignment(syn.utterances(spark, sf))
+    rows = df.withColumns({"passed": rj.alive(), "stage": F.col("reject_stage"), "orig_text": F.lit(None).cast("string"), "asr": F.lit(None).cast("struct<text:string,wer:double>"), "audiobox": F.expr("cast(null as map<string,double>)")})
+    return listing.listing(rows).select("shard", "key", "n_aligned")
+
+
+def alignment_filter(spark: SparkSession, sf: str) -> DataFrame:
+    df = syn.with_alignment(syn.utterances(spark, sf)).withColumn("alignment", F.expr("if(doc_id % 11 = 0, null, transform(alignment, x -> named_struct('text', x.text, 'start', x.start + 0.0002D, 'end', x.end + 0.0002D)))"))
+    df = stages.alignment_filter(df)
+    return df.select(*_REJECT, F.size("alignment").alias("n_units"), F.get("alignment", F.lit(0))["start"].alias("first_start"))
+
+
+def pack_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    shards = _shards(spark, sf).withColumn("size", F.col("size") * 1_000_000)
+    return packs.manifest(packs.build_packs(shards, _limit(spark, sf) * 1_000_000), shards.select("name", "n")).select("pack_id", "size_gb")
+
+
+def packs_unchanged(spark: SparkSession, sf: str) -> DataFrame:
+    shards = _shards(spark, sf)
+    listed = packs.manifest(packs.build_packs(shards, _limit(spark, sf)), shards.select("name", "n"))
+    done = listed.select("pack_id", F.when(F.col("pack_id").rlike("[02468]$"), F.col("files")).otherwise(F.reverse("files")).alias("files"))
+    return packs.unchanged(listed, done).select("pack_id")
+
+
+def configured_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """The counters' text of a chain that a settings file asks for."""
+    path = os.path.join(syn.work_folder(spark, "settings"), "chain.yaml")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("duration: {min_sec: 2.0, max_sec: 30.0}\naudiobox: {enabled: true, min_pq: 6.0}\ndiarization: {enabled: true}\nasr: {enabled: false}\n")
+    rows = syn.with_segments(syn.with_quality(syn.samples(spark, sf)))
+    found = {r.name: r.n for r in rj.counters(config.run_steps(rows, config.build_steps(config.load(path)))).collect()}  # a row a stage
+    return spark.range(1).select(F.lit(rj.render_counters(found)).alias("said"))
+
+
+def _recorded(spark: SparkSession, sf: str) -> DataFrame:
+    return syn.with_audio(syn.samples(spark, sf))
+
+
+def archive_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as archives of JSON and WAV, read back and decoded."""
+    folder = syn.work_folder(spark, "json-audio")
+    syn.write_archives(_recorded(spark, sf), folder)
+    rows = audio.with_durations(archives.read_samples(spark, f"{folder}/*.tar"))
+    return rows.select("shard", "key", "ext", "language", F.md5("text").alias("text_md5"), F.octet_length("audio").alias("n_bytes"), "duration", "audio_duration", "decode_error")
+
+
+def archive_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents on one line each, written as compressed archives of text and WAV and read back."""
+    folder = syn.work_folder(spark, "txt-wav")
+    syn.write_archives(_recorded(spark, sf).withColumn("text", F.regexp_replace("text", r"\s+", " ")), folder, "txt_wav")
+    return archives.read_samples(spark, f"{folder}/*.tar.gz", "txt_wav").select("shard", "key", "language", F.md5(F.trim("text")).alias("text_md5"))
+
+
+def archive_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Audio members by pointer: sizes from the index and the bytes that a range read gives."""
+    folder = syn.work_folder(spark, "index")
+    syn.write_archives(_recorded(spark, sf), folder)
+    found = archives.read_bytes(archives.read_index(spark, f"{folder}/*.tar").where("ext = 'wav'"))
+    return found.select("shard", "stem", "size", F.octet_length("payload").alias("n_bytes"), F.decode(F.substring("payload", 1, 4), "US-ASCII").alias("head"))
+
+
+def archive_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Metadata members, and members without a partner, of each archive."""
+    folder = syn.work_folder(spark, "counts")
+    syn.write_archives(_recorded(spark, sf), folder)
+    pattern = f"{folder}/*.tar"
+    return archives.count_metadata(spark, pattern).join(archives.unpaired_counts(spark, pattern), "shard")
+
+
+def corrupt_audio(spark: SparkSession, sf: str) -> DataFrame:
+    """Recordings of which some are cut off in the header; those are rejected before any stage."""
+    rows = _recorded(spark, sf).withColumn("audio", F.expr("if(doc_id % 13 = 0, substring(audio, 1, 20), audio)")).drop("reject_stage", "reject_code", "reject_value")
+    rows = rj.with_rejects(audio.with_durations(rows))
+    return rows.select("key", "reject_stage", F.substring_index("reject_code", ":", 1).alias("code"), "duration")
+
+
+def cut_audio(spark: SparkSession, sf: str) -> DataFrame:
+    """Recordings cut and padded by a plan; frames of the new audio and its first and last sample."""
+    plan = F.when(F.col("doc_id") % 4 != 0, F.struct(syn.ms("doc_id % 7 * 5").alias("cut_start"), syn.ms("80 + doc_id % 5").alias("cut_end"), syn.ms("doc_id % 3 * 10").alias("pad_head"), syn.ms("doc_id % 2 * 20").alias("pad_tail")))
+    rows = audio.with_trimmed(_recorded(spark, sf).withColumn("_trim", plan))
+    return rows.select("key", "trim_error", F.round(F.col("new_duration") * 16000).cast("long").alias("n_frames"))
+
+
+def written_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A run's outputs, written and read back: clean archives, reject files with their reasons, and markers."""
+    folder = syn.work_folder(spark, "run")
+    rows = stages.duration_filter(_recorded(spark, sf)).withColumn("source", F.lit(archives.SOURCES["json_audio"]))
+    shards = [r.shard for r in rows.select("shard").distinct().collect()]  # a row an archive
+    sinks.write_run(rows, folder, shards)
+    meta = lambda name: F.get_json_object("meta", f"$.{name}")
+    none = F.lit(None).cast("string")
+    clean = archives.read_clean(spark, f"{folder}/*-clean.tar").select("shard", "key", none.alias("stage"), none.alias("reason"), F.md5(meta("text")).alias("text_md5"))
+    drops = archives.read_drops(spark, f"{folder}/*-drops.jsonl").select("shard", "key", "stage", "reason", F.md5(meta("text")).alias("text_md5"))
+    done = spark.createDataFrame([(s,) for s in sinks.done_shards(folder)], "shard string")
+    return clean.unionByName(drops).join(done, "shard")
+
+
+def audio_by_kind(spark: SparkSession, sf: str) -> DataFrame:
+    """Audio of passed samples from the written archives, of dropped ones from a cache or their sources."""
+    source, folder = syn.work_folder(spark, "sources"), syn.work_folder(spark, "run")
+    recorded = _recorded(spark, sf)
+    syn.write_archives(recorded, source)
+    rows = stages.duration_filter(recorded)
+    sinks.write_run(rows, folder, [r.shard for r in rows.select("shard").distinct().collect()])  # a row an archive
+    drops = rj.dropped(rows).select("shard", F.col("key").alias("stem"))
+    cached = recorded.where("doc_id % 5 = 0").select("shard", F.col("key").alias("stem"), F.lit("flac").alias("ext"), "audio").withColumnRenamed("audio", "payload")
+    found = archives.source_audio(spark, drops, f"{source}/*.tar", cached).withColumnRenamed("stem", "key").withColumn("kind", F.lit("source"))
+    both = archives.passed_audio(spark, f"{folder}/*-clean.tar").withColumn("kind", F.lit("passed")).unionByName(found)
+    return both.select("kind", "shard", "key", "ext", F.octet_length("payload").alias("n_bytes"))
+
+
 QUERIES = {f.__name__: f for f in (
     duration_filter, drop_counts, quality_filter, speaker_filter, transcript_filter, text_rewrite, pause_filter, edge_trim, pause_punctuation, text_units, language_names,
     pair_join, unpaired, shard_limit, worker_partition, resume, pack_greedy, pack_manifest, corpus_summary, drops_by_stage, listing_search, listing_wer_page,
     listing_quality_page, listing_last_page, listing_other_text, row_detail, shard_log, stage_throughput, prefetch_keys, event_gaps,
+    listing_key_page, listing_aligned, alignment_filter, pack_sizes, packs_unchanged, configured_chain, archive_samples, archive_transcripts, archive_index, archive_counts,
+    corrupt_audio, cut_audio, written_run, audio_by_kind,
 )}
 
 _SAMPLES = r"""
@@ -208,16 +328,19 @@ seg AS (SELECT doc_id, who, sum(sec) AS sec FROM (
   SELECT doc_id, k AS who, (floor((k + (doc_id * (k * 7 + 3) % 300)::DOUBLE / 100) * 100 + 0.5) / 100) - k AS sec FROM s, (SELECT unnest([0, 1, 2]) AS k) WHERE k <= doc_id % 3) GROUP BY ALL),
 spk AS (SELECT doc_id, count(*) FILTER (WHERE sec >= 0.5) AS n FROM seg GROUP BY doc_id),
 j AS (SELECT q.*, coalesce(stage1, CASE WHEN spk.n > 1 THEN 'multi_speaker' END) AS stage, spk.n AS n_speakers,
-      CASE WHEN doc_id % 7 <> 0 THEN (doc_id * 37 % 400)::DOUBLE / 1000 END AS wer, reverse(substr(text, 1, 12)) AS heard,
+      CASE WHEN doc_id % 7 <> 0 THEN (doc_id * 37 % 400)::DOUBLE / 1000 END AS wer, reverse(text) AS heard,
       CASE WHEN doc_id % 5 = 0 THEN reverse(text) END AS orig_text FROM q JOIN spk USING (doc_id))
 """
 )
-_TOKENS = r"list_slice(list_filter(string_split_regex(text, '[ \n]+'), lambda x: x <> ''), 1, 40)"
+_UTTERANCES = r"""
+ws AS (SELECT *, coalesce(list_filter(string_split_regex(text, '[ \n]+'), lambda x: x <> ''), []) AS ws FROM documents),
+ut AS (SELECT source, doc_id AS doc, ws, unnest(range(0, greatest(0, (len(ws) - 1) // 40) + 1)) AS k FROM ws),
+s AS (SELECT source AS shard, doc AS ord, doc::VARCHAR || '-' || k AS key, doc * 1000 + k AS doc_id, list_slice(ws, k * 40 + 1, k * 40 + 40) AS w FROM ut)
+"""
 _ALIGNED = (
-    _SAMPLES + rf"""
-, tok AS (SELECT *, {_TOKENS} AS w FROM s),
-al AS (SELECT *, list_transform(generate_series(0, len(w) - 1), lambda i: (doc_id * 31 % 1500 + i * 400 + (doc_id * 17 + i * i * 91) % 1300)) AS st,
-       (doc_id * 31 % 1500 + len(w) * 400 + doc_id * 3 % 2500)::DOUBLE / 1000 AS dur FROM tok)
+    _UTTERANCES + r"""
+, al AS (SELECT *, list_transform(generate_series(0, len(w) - 1), lambda i: (doc_id * 31 % 1500 + i * 400 + (doc_id * 17 + i * i * 91) % 1300)) AS st,
+       (doc_id * 31 % 1500 + len(w) * 400 + doc_id * 3 % 2500)::DOUBLE / 1000 AS dur FROM s)
 """
 )
 _UNITS = r"list_filter(string_split(trim(regexp_replace(replace(trim(lower(regexp_replace({0}, '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))), '_', ' '), '\s+', ' ', 'g')), ' '), lambda x: x <> '')"
@@ -230,7 +353,7 @@ SQL = {
         SELECT key, CASE WHEN axis IS NOT NULL THEN 'audiobox' END AS reject_stage, 'audiobox_' || axis AS reject_code, CASE axis WHEN 'PQ' THEN pq WHEN 'CE' THEN ce WHEN 'CU' THEN cu WHEN 'PC' THEN pc END AS reject_value FROM b""",
     "speaker_filter": f"""WITH {_JUDGED} SELECT s.doc_id::VARCHAR AS key, CASE WHEN n > 1 THEN 'multi_speaker' END AS reject_stage, CASE WHEN n > 1 THEN 'multi_speaker' END AS reject_code, CASE WHEN n > 1 THEN n::DOUBLE END AS reject_value, n::INTEGER AS num_speakers,
         (SELECT round(any_value(sec), 2) FROM seg WHERE seg.doc_id = s.doc_id AND who = 1 AND sec >= 0.5) AS speaker_1_sec FROM s JOIN spk USING (doc_id)""",
-    "transcript_filter": rf"""WITH {_SAMPLES}, t AS (SELECT *, {_TOKENS} AS w, doc_id % 23 + 3 AS m FROM s),
+    "transcript_filter": rf"""WITH {_UTTERANCES}, t AS (SELECT *, doc_id % 23 + 3 AS m FROM s),
         h AS (SELECT *, array_to_string(w, ' ') AS before, array_to_string(list_filter(list_transform(w, lambda x, i: CASE WHEN i % m = 0 THEN NULL WHEN (i + 1) % m = 0 THEN 'zzz' ELSE x END), lambda x: x IS NOT NULL), ' ') AS heard FROM t),
         u AS (SELECT *, {_UNITS.format("before")} AS a, {_UNITS.format("heard")} AS b FROM h),
         v AS (SELECT *, list_distinct(list_concat(a, b)) AS voc FROM u),
@@ -286,3 +409,24 @@ f(k, name, size, n, pack, used) AS (
 """
 SQL["pack_greedy"] = f"WITH RECURSIVE {_PACKS} SELECT name, size, pack FROM f"
 SQL["pack_manifest"] = f"WITH RECURSIVE {_PACKS} SELECT printf('pack_%05d', pack) AS pack_id, string_agg(name, ',' ORDER BY name) AS files, sum(n)::BIGINT AS num_samples FROM f GROUP BY pack"
+SQL["pack_sizes"] = f"WITH RECURSIVE {_PACKS} SELECT printf('pack_%05d', pack) AS pack_id, round(sum(size) * 1000000::DOUBLE / 1073741824, 2) AS size_gb FROM f GROUP BY pack"
+SQL["packs_unchanged"] = f"WITH RECURSIVE {_PACKS} SELECT printf('pack_%05d', pack) AS pack_id FROM f GROUP BY pack HAVING pack % 2 = 0 OR count(*) = 1"
+_FRAMES = syn.frames()
+_CODED = f"WITH {_SAMPLES}, {_DURATION}"
+_REASON = "CASE code WHEN 'too_short' THEN printf('too_short:%.2f', duration) WHEN 'too_long' THEN printf('too_long:%.2f', duration) ELSE code END"
+SQL |= {
+    "listing_key_page": f"WITH {_JUDGED} SELECT shard, key FROM j WHERE stage IS NULL ORDER BY key, shard, ord LIMIT 100",
+    "listing_aligned": f"WITH {_UTTERANCES} SELECT shard, key, len(w)::INTEGER AS n_aligned FROM s",
+    "alignment_filter": f"""WITH {_ALIGNED} SELECT key, CASE WHEN doc_id % 11 = 0 THEN 'align' END AS reject_stage, CASE WHEN doc_id % 11 = 0 THEN 'align_failed' END AS reject_code, NULL::DOUBLE AS reject_value,
+        CASE WHEN doc_id % 11 <> 0 THEN len(w)::INTEGER END AS n_units, CASE WHEN doc_id % 11 <> 0 THEN st[1]::DOUBLE / 1000 END AS first_start FROM al""",
+    "configured_chain": f"""WITH {_JUDGED} SELECT 'input=' || count(*) || ' output=' || count(*) FILTER (WHERE stage IS NULL) || coalesce((SELECT string_agg(' drop:' || stage || '=' || n, '' ORDER BY stage) FROM (SELECT stage, count(*) AS n FROM j WHERE stage IS NOT NULL GROUP BY stage)), '') AS said FROM j""",
+    "archive_samples": f"SELECT source AS shard, doc_id::VARCHAR AS key, 'wav' AS ext, lang AS language, md5(text) AS text_md5, (44 + 2 * {_FRAMES})::INTEGER AS n_bytes, {_FRAMES}::DOUBLE / 16000 AS duration, {_FRAMES}::DOUBLE / 16000 AS audio_duration, NULL::VARCHAR AS decode_error FROM documents",
+    "archive_transcripts": r"SELECT source AS shard, doc_id::VARCHAR AS key, 'zh' AS language, md5(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS text_md5 FROM documents",
+    "archive_index": f"SELECT source AS shard, doc_id::VARCHAR AS stem, (44 + 2 * {_FRAMES})::BIGINT AS size, (44 + 2 * {_FRAMES})::INTEGER AS n_bytes, 'RIFF' AS head FROM documents",
+    "archive_counts": "SELECT source AS shard, count(*) AS n, 0::BIGINT AS unpaired_meta, 0::BIGINT AS unpaired_audio FROM documents GROUP BY source",
+    "corrupt_audio": f"SELECT doc_id::VARCHAR AS key, CASE WHEN doc_id % 13 = 0 THEN 'input' END AS reject_stage, CASE WHEN doc_id % 13 = 0 THEN 'decode_error' END AS code, CASE WHEN doc_id % 13 <> 0 THEN {_FRAMES}::DOUBLE / 16000 END AS duration FROM documents",
+    "cut_audio": """SELECT doc_id::VARCHAR AS key, NULL::VARCHAR AS trim_error, CASE WHEN doc_id % 4 <> 0 THEN (floor((80 + doc_id % 5)::DOUBLE / 1000 * 16000) - floor((doc_id % 7 * 5)::DOUBLE / 1000 * 16000)
+        + floor((doc_id % 3 * 10)::DOUBLE / 1000 * 16000) + floor((doc_id % 2 * 20)::DOUBLE / 1000 * 16000))::BIGINT END AS n_frames FROM documents""",
+    "written_run": f"{_CODED} SELECT shard, key, CASE WHEN code IS NOT NULL THEN 'duration' END AS stage, {_REASON} AS reason, md5(text) AS text_md5 FROM d",
+    "audio_by_kind": f"{_CODED} SELECT CASE WHEN code IS NULL THEN 'passed' ELSE 'source' END AS kind, shard, key, CASE WHEN code IS NOT NULL AND doc_id % 5 = 0 THEN 'flac' ELSE 'wav' END AS ext, (44 + 2 * {_FRAMES})::INTEGER AS n_bytes FROM d",
+}

@@ -187,10 +187,30 @@ def read_bytes(pointers: DataFrame) -> DataFrame:
     return pointers.mapInArrow(run, T.StructType([*pointers.schema.fields, T.StructField("payload", T.BinaryType())]))
 
 
-def source_audio(spark: SparkSession, drops: DataFrame, path: str) -> DataFrame:
-    """Dropped rows (shard, stem) with their source audio: by offset in plain archives, by a scan in compressed ones."""
+def read_cache(spark: SparkSession, folder: str) -> DataFrame:
+    """(shard, stem, ext, payload) of audio kept as ``folder/shard/stem.ext``."""
+    from pyspark.sql import functions as F
+
+    files = spark.read.format("binaryFile").load(f"{folder}/*/*")
+    parts = [F.regexp_extract("path", r"/([^/]+)/([^/]+)\.([^./]+)$", k).alias(c) for k, c in ((1, "shard"), (2, "stem"), (3, "ext"))]
+    return files.select(*parts, F.col("content").alias("payload")).where(F.col("ext").isin(*AUDIO))
+
+
+def passed_audio(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, key, ext, payload) of the samples in written archives."""
+    return read_bytes(read_clean(spark, path).where("offset is not null").select("shard", "key", "ext", "path", "offset", "size")).select("shard", "key", "ext", "payload")
+
+
+def source_audio(spark: SparkSession, drops: DataFrame, path: str, cached: DataFrame | None = None) -> DataFrame:
+    """Dropped rows (shard, stem) with their source audio: from ``cached`` (as ``read_cache`` gives it) where it is there,
+    else by offset in plain archives, by a scan in compressed ones."""
+    stems = drops.select("shard", "stem").distinct()
+    if cached is not None:
+        held = stems.join(cached.select("shard", "stem", "ext", "payload"), ["shard", "stem"])
+        rest = stems.join(cached.select("shard", "stem").distinct(), ["shard", "stem"], "left_anti")
+        return held.unionByName(source_audio(spark, rest, path))
     index = read_index(spark, path).where("ext in ('mp3', 'wav', 'flac')").select("shard", "stem", "ext", "path", "offset", "size", "compressed")
-    wanted = drops.select("shard", "stem").distinct().join(index, ["shard", "stem"])
+    wanted = stems.join(index, ["shard", "stem"])
     plain = read_bytes(wanted.where("not compressed")).select("shard", "stem", "ext", "payload")
     packed = wanted.where("compressed").select("shard", "stem", "ext", "path")
     import pyarrow as pa
