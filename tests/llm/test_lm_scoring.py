@@ -76,7 +76,11 @@ def test_equals_brute_force(spark, small, monkeypatch):
     base = lambda t: sum(math.log10((tokens[w] + 1) / (n + v + 1)) for w in [*low(t).split(), "<end>"])
     ctw = dict(zip((r.text for r in rows), brute(train, [r.text for r in rows]), strict=True))
     want = sorted((str(r.doc_id), r.h, len(low(r.text).split()) + 1, sum(tokens[w] > 0 for w in low(r.text).split()) + 1, n, round(base(r.text), 6), round(ctw[r.text], 3)) for r in rows)
-    for frequent, grams in ((op.FREQUENT, op.SLICE_GRAMS), (4, 60)):
+    # one slice, several, and a model that is joined
+    for frequent, grams, most in ((op.FREQUENT, op.SLICE_GRAMS, op.MOST_SLICES), (4, 60, 1000), (4, 60, 1)):
+        monkeypatch.setattr(op, "MOST_SLICES", most)
+        monkeypatch.setattr(op, "BLOCK_BYTES", 30)
+        monkeypatch.setattr(op, "TREE_GRAMS", 20)
         monkeypatch.setattr(op, "FREQUENT", frequent)
         monkeypatch.setattr(op, "SLICE_GRAMS", grams)
         got = op.score(small, held).collect()

@@ -6,14 +6,20 @@ is half its own estimate and half the product of its children's, so predictions
 training texts settle. The sum over a text's decisions is its code length, reported as log10 probability.
 
 The trees are gathered from exact counts of (DEPTH + 1)-byte grams of all documents, held-out ones with count 0, so that
-every gram to be scored has a prediction. Grams are dealt by their two nearest context bytes: all deeper
-nodes of a tree lie in one partition. What lies above (255 decisions after each single byte, and after none) is
-at most 65,536 rows and is combined on the driver. Predictions go to the scoring pass in slices of at most
-``SLICE_GRAMS`` grams, each broadcast in turn; a document's score is the sum over the slices.
+every gram to be scored has a prediction. Grams are dealt by their three nearest context bytes: all deeper nodes of a
+tree lie in one partition, and the eight decisions of a byte are worked out one after the other. The nodes above are summed:
+at most 2 ** 24 after two bytes, whose shares and estimates are broadcast with those after one and none.
+
+Predictions go to the scoring pass in slices of at most ``SLICE_GRAMS`` grams, each broadcast, scored and let go in turn;
+a document's score is the sum over the slices. A model of more than ``MOST_SLICES`` slices is joined instead: documents form
+blocks of ``BLOCK_BYTES``, the distinct grams of each block are joined to their predictions and meet the block again,
+so that the documents are read once however large the model is. Both ways give the same scores.
 
 The base score needs each token's count. Tokens that make up at least one in ``FREQUENT`` of all tokens are at most
 FREQUENT, so they are broadcast; (document, token) pairs of the others are joined to the counts.
 
+Tokens are told apart by 64-bit hashes (two of n tokens agree with a probability of about n * n / 2 ** 65), texts by their MD5.
+
 Defined results: a null or empty text is the end mark alone; a null doc_id counts as the empty text for the fold;
 repeated rows each count and each get a score; without training texts c, N and V are 0; other columns are ignored; an
 empty table gives no rows.
@@ -24,14 +30,17 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import CACHE_BYTES, crc_of, held, materialize, mix64, slices, table, utf8
+from ._common import CACHE_BYTES, by_bytes, crc_of, held, join_facts, materialize, mix64, slices, table, utf8
 
 DEPTH = 5
 FOLDS, HELD_OUT = 7, 2
-SLICE_GRAMS = 1 << 22
+SLICE_GRAMS, MOST_SLICES = 1 << 22, 4
+#: Bytes of text in a block whose grams are joined to a large model; grams whose trees are worked out at once.
+BLOCK_BYTES, TREE_GRAMS = 4 << 20, 200_000
 FREQUENT = 1 << 20
 #: Bytes of text that a worker turns into grams at once, and distinct keys that it gathers before it sends them on.
 _BYTES, _GATHERED = 1 << 20, 600_000
@@ -168,86 +177,98 @@ def _weighted(own: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.nda
     return both, np.exp(own - np.log(2) - both)
 
 
-def _decisions(symbols: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each of a byte's eight bits, from the top: the decision's number (1 to 255) and the bit."""
-    return [((symbols | 256) >> (8 - k), (symbols >> (7 - k)) & 1) for k in range(8)]
-
-
-class _Tree:
-    """All nodes of depths DEPTH to 2 over a set of grams that holds whole subtrees."""
-
-    def __init__(self, grams: np.ndarray, n: np.ndarray):
-        symbol, context = grams >> (8 * DEPTH), grams & ((1 << 8 * DEPTH) - 1)
-        self.levels: list[dict] = []
-        below = None
-        for depth in range(DEPTH, 1, -1):
-            ctx = context >> (8 * (DEPTH - depth))
-            nodes, ones, total = [], [], []
-            for number, bit in _decisions(symbol):
-                nodes.append((ctx << 8) | number)
-                ones.append(n * bit)
-                total.append(n)
-            key, place = np.unique(np.concatenate(nodes), return_inverse=True)
-            one = np.bincount(place, np.concatenate(ones), len(key))
-            zero = np.bincount(place, np.concatenate(total), len(key)) - one
-            weighted, own = _log_kt(zero, one), np.ones(len(key))
-            if below is not None:
-                parent = np.searchsorted(key, ((below["key"] >> 16) << 8) | (below["key"] & 255))
-                weighted, own = _weighted(weighted, np.bincount(parent, below["weighted"], len(key)))
-            below = {"key": key, "zero": zero, "one": one, "weighted": weighted, "own": own, "place": place.reshape(8, -1)}
-            self.levels.append(below)
-
-    def predict(self) -> np.ndarray:
-        """8 x grams: the probability of each decision's bit, by the tree below depth 2."""
-        symbol_bits, p = None, None
-        for level in self.levels:
-            place = level["place"]
-            one = (level["one"][place] + 0.5) / (level["one"][place] + level["zero"][place] + 1)
-            own = level["own"][place]
-            p = one if p is None else own * one + (1 - own) * p
-        return p
-
-
-def _top(rows) -> dict[str, np.ndarray]:
-    """Own shares and estimates of the decisions after one byte (256 x 256) and after none (256)."""
-    zero, one, below = (np.zeros((256, 256)) for _ in range(3))
-    for key, z, o, w in rows:
-        zero[key >> 8, key & 255], one[key >> 8, key & 255], below[key >> 8, key & 255] = z, o, w
-    weighted, own1 = _weighted(_log_kt(zero, one), below)
-    zero0, one0 = zero.sum(axis=0), one.sum(axis=0)
-    _, own0 = _weighted(_log_kt(zero0, one0), weighted.sum(axis=0))
-    return {"own1": own1, "p1": (one + 0.5) / (one + zero + 1), "own0": own0, "p0": (one0 + 0.5) / (one0 + zero0 + 1)}
+def _decision(symbols: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a byte's k-th bit from the top: the decision's number (1 to 255) and the bit."""
+    return (symbols | 256) >> (8 - k), (symbols >> (7 - k)) & 1
+
+
+def _levels(grams: np.ndarray, n: np.ndarray, k: int) -> list[dict]:
+    """The nodes of depths DEPTH to 3 of decision ``k``, over a set of grams that holds whole subtrees."""
+    number, bit = _decision(grams >> (8 * DEPTH), k)
+    context, ones, out = grams & ((1 << 8 * DEPTH) - 1), n * bit, []
+    for depth in range(DEPTH, 2, -1):
+        key, place = np.unique((context >> (8 * (DEPTH - depth)) << 8) | number, return_inverse=True)
+        one = np.bincount(place, ones, len(key))
+        zero = np.bincount(place, n, len(key)) - one
+        weighted, own = _log_kt(zero, one), np.ones(len(key))
+        if out:
+            below = out[-1]
+            parent = np.searchsorted(key, _above(below["key"]))
+            weighted, own = _weighted(weighted, np.bincount(parent, below["weighted"], len(key)))
+        out.append({"key": key, "zero": zero, "one": one, "weighted": weighted, "own": own, "place": place})
+    return out
+
+
+def _above(key: np.ndarray) -> np.ndarray:
+    """The node one byte nearer to the root, without the farthest byte of the context."""
+    return ((key >> 16) << 8) | (key & 255)
+
+
+def _top(key: np.ndarray, zero: np.ndarray, one: np.ndarray, below: np.ndarray) -> dict[str, np.ndarray]:
+    """Own shares and estimates of the decisions after two bytes (sorted by ``key``), one (256 x 256) and none (256)."""
+    order = np.argsort(key)
+    key, zero, one, below = key[order], zero[order], one[order], below[order]
+    weighted, own = _weighted(_log_kt(zero, one), below)
+    near = _above(key)
+    zero1, one1, below1 = (np.bincount(near, x, 1 << 16).reshape(256, 256) for x in (zero, one, weighted))
+    weighted1, own1 = _weighted(_log_kt(zero1, one1), below1)
+    zero0, one0 = zero1.sum(axis=0), one1.sum(axis=0)
+    _, own0 = _weighted(_log_kt(zero0, one0), weighted1.sum(axis=0))
+    p = lambda z, o: (o + 0.5) / (o + z + 1)
+    return {"key": key.astype(np.int32), "own2": own.astype(np.float32), "p2": p(zero, one).astype(np.float32), "own1": own1, "p1": p(zero1, one1), "own0": own0, "p0": p(zero0, one0)}
+
+
+def _predict(grams: np.ndarray, n: np.ndarray, top: dict[str, np.ndarray]) -> np.ndarray:
+    """log10 of the mixed prediction of each gram's last byte."""
+    near2, total = (grams >> (8 * (DEPTH - 2))) & 0xFFFF, np.zeros(len(grams))
+    for k in range(8):
+        number, bit = _decision(grams >> (8 * DEPTH), k)
+        p = None
+        for level in _levels(grams, n, k):
+            estimate = ((level["one"] + 0.5) / (level["one"] + level["zero"] + 1))[level["place"]]
+            own = level["own"][level["place"]]
+            p = estimate if p is None else own * estimate + (1 - own) * p
+        at = np.searchsorted(top["key"], (near2 << 8) | number)
+        for own, estimate in ((top["own2"][at], top["p2"][at]), (top["own1"][near2 >> 8, number], top["p1"][near2 >> 8, number]), (top["own0"][number], top["p0"][number])):
+            p = own * estimate + (1 - own) * p
+        total += np.log10(np.where(bit == 1, p, 1 - p))
+    return total
+
+
+def _subtrees(batches):
+    """The (grams, n) of a partition in sets of about ``TREE_GRAMS``, each with all grams of its contexts of three bytes."""
+    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if not sum(len(k) for k, _ in parts):
+        return
+    key, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    context = (key >> (8 * (DEPTH - 3))) & 0xFFFFFF
+    order = np.argsort(context, kind="stable")
+    key, n, context = key[order], n[order], context[order]
+    starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+    ends = np.append(starts, len(key))
+    for lo, hi in slices(ends, TREE_GRAMS):
+        yield key[ends[lo] : ends[hi]], n[ends[lo] : ends[hi]]
 
 
 def predictions(grams: DataFrame) -> DataFrame:
     """(gram, log10p) of (key, n) rows: the mixed prediction of each gram's last byte. Written once."""
-    spark = grams.sparkSession
-    nearest = F.shiftrightunsigned("key", 8 * (DEPTH - 2)).bitwiseAND(F.lit(0xFFFF))
+    nearest = F.shiftrightunsigned("key", 8 * (DEPTH - 3)).bitwiseAND(F.lit(0xFFFFFF))
     dealt = grams.select("key", "n", nearest.alias("_near")).repartition("_near").select("key", "n")
 
-    def whole(batches):
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-        return (np.concatenate(x) for x in zip(*parts, strict=True)) if sum(len(k) for k, _ in parts) else None
-
     def tops(batches):
-        if (found := whole(batches)) is not None:
-            top = _Tree(*found).levels[-1]
-            key = ((top["key"] >> 16) << 8) | (top["key"] & 255)  # without the second nearest byte
-            yield pa.record_batch([pa.array(key), *(pa.array(top[c]) for c in ("zero", "one", "weighted"))], names=["key", "zero", "one", "weighted"])
+        for key, n in _subtrees(batches):
+            for k in range(8):
+                top = _levels(key, n, k)[-1]
+                above, place = np.unique(_above(top["key"]), return_inverse=True)
+                yield pa.record_batch([pa.array(above), *(pa.array(np.bincount(place, top[c], len(above))) for c in ("zero", "one", "weighted"))], names=["key", "zero", "one", "weighted"])
 
-    sums = dealt.mapInArrow(tops, "key long, zero double, one double, weighted double").groupBy("key").agg(*(F.sum(c) for c in ("zero", "one", "weighted")))
-    sent = spark.sparkContext.broadcast(_top(sums.collect()))  # 65,536 rows at most
+    sums = dealt.mapInArrow(tops, "key long, zero double, one double, weighted double").groupBy("key").agg(*(F.sum(c).alias(c) for c in ("zero", "one", "weighted")))
+    found = sums.toArrow()  # 2 ** 24 rows at most
+    sent = grams.sparkSession.sparkContext.broadcast(_top(*(found.column(c).to_numpy() for c in ("key", "zero", "one", "weighted"))))
 
     def finish(batches):
-        if (found := whole(batches)) is not None:
-            key, n = found
-            top, p = sent.value, _Tree(key, n).predict()
-            near, total = (key >> (8 * (DEPTH - 1))) & 255, np.zeros(len(key))
-            for k, (number, bit) in enumerate(_decisions(key >> (8 * DEPTH))):
-                own1, own0 = top["own1"][near, number], top["own0"][number]
-                one = own0 * top["p0"][number] + (1 - own0) * (own1 * top["p1"][near, number] + (1 - own1) * p[k])
-                total += np.log10(np.where(bit == 1, one, 1 - one))
-            yield pa.record_batch([pa.array(key), pa.array(total.astype(np.float32))], names=["gram", "log10p"])
+        for key, n in _subtrees(batches):
+            yield pa.record_batch([pa.array(key), pa.array(_predict(key, n, sent.value).astype(np.float32))], names=["gram", "log10p"])
 
     return materialize(dealt.mapInArrow(finish, "gram long, log10p float"), "lm-predictions")
 
@@ -305,43 +326,76 @@ def _gather(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.append(keys, -1), np.append(values, np.zeros(1, values.dtype))
 
 
-def _sum_slices(docs: DataFrame, model: DataFrame) -> list[DataFrame]:
-    """For each slice of the model: docs with the sum of log10p of its grams."""
-    n = model.count()
-    parts = max(1, -(-n // SLICE_GRAMS))
-    out = []
-    for k in range(parts):
-        part = model if parts == 1 else model.where(F.pmod(F.xxhash64("gram"), F.lit(parts)) == k)
-        sent = docs.sparkSession.sparkContext.broadcast(_gather(part.select("gram", "log10p")))  # SLICE_GRAMS rows or about as many
-        out.append((k, sent))
-    return out
+def _joined_scores(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """(address, score) of every row of (address, text) rows, by joining the distinct grams of each block of them to the model."""
+
+    def number(batches):
+        block, size = TaskContext.get().partitionId() << 32, 0
+        for b in by_bytes(batches, 1, BLOCK_BYTES):
+            block, size = (block + 1, 0) if size > BLOCK_BYTES else (block, size)
+            size += b.column(1).nbytes
+            yield pa.record_batch([pa.array(np.full(b.num_rows, block)), *b.columns], names=["block", "address", "text"])
+
+    def distinct(batches):
+        for b in batches:
+            blocks = b.column(0).to_numpy()
+            for block in np.unique(blocks):
+                data, at = utf8(b.column(1).filter(pa.array(blocks == block)))
+                found = [_counted(_grams(data, at, lo, hi)[0])[0] for lo, hi in slices(at, _BYTES)]
+                grams = _counted(np.concatenate(found))[0].astype(np.int64)
+                yield pa.record_batch([pa.array(np.full(len(grams), block)), pa.array(grams)], names=["block", "gram"])
+
+    def total(texts: pa.Table, found: pa.Table) -> pa.Table:
+        table = Lookup(np.append(found["gram"].to_numpy(), -1), np.append(found["log10p"].to_numpy(), np.zeros(1, np.float32)))
+        data, at = utf8(texts["text"])
+        sums = []
+        for lo, hi in slices(at, _BYTES):
+            grams, starts = _grams(data, at, lo, hi)
+            sums.append(np.add.reduceat(table.get(grams.astype(np.int64)).astype(np.float64), starts[:-1]))
+        return pa.table({"address": texts["address"], "score": np.concatenate(sums)})
+
+    blocked = materialize(docs.mapInArrow(number, "block long, address binary, text string"), "lm-blocks")
+    needed = materialize(blocked.select("block", "text").mapInArrow(distinct, "block long, gram long").distinct(), "lm-needed")
+    found = needed.join(model, "gram").select("block", "gram", "log10p")
+    return blocked.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(total, "address binary, score double")
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out.alias("held_out"))
     both = counts(docs)
     tokens, grams = both.where("kind = 1").select("key", "n"), both.where("kind = 0").select("key", "n")
     total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    model_slices = _sum_slices(docs, predictions(grams))
+    model = predictions(grams)
+    parts = max(1, -(-model.count() // SLICE_GRAMS))
     frequent = spark.sparkContext.broadcast(_gather(tokens.where(F.col("n") * FREQUENT >= total).select("key", "n")))  # FREQUENT rows at most
+    address = F.unhex(F.md5(F.col("text").cast("binary"))).alias("address")
 
-    def run_slice(k, sent):
+    def slice_scores(sent):
         def run(batches):
-            model, common = _lookup("model", sent), _lookup("common", frequent)
+            for b in batches:
+                data, at = utf8(b.column(1))
+                for lo, hi in slices(at, _BYTES):
+                    grams, starts = _grams(data, at, lo, hi)
+                    sums = np.add.reduceat(_lookup("model", sent).get(grams.astype(np.int64)).astype(np.float64), starts[:-1])
+                    yield pa.record_batch([b.column(0)[lo:hi], pa.array(sums)], names=["address", "score"])
+
+        return run
+
+    def token_scores(sent):
+        """Sums over the frequent tokens, the others with their numbers, and the score of slice ``sent``, if any."""
+
+        def run(batches):
+            common = _lookup("common", frequent)
             names = ["doc_id", "held_out", "address", "n_tokens", "n_known", "base", "score", "rare", "times"]
             for b in batches:
                 data, at = utf8(b.column(1))
                 for lo, hi in slices(at, _BYTES):
-                    keys, starts = _grams(data, at, lo, hi)
-                    sums = np.add.reduceat(model.get(keys.astype(np.int64)).astype(np.float64), starts[:-1])
-                    rows = [b.column(0)[lo:hi], b.column(2)[lo:hi], b.column(3)[lo:hi]]
-                    if k:
-                        zero = pa.array(np.zeros(hi - lo, np.int64))
-                        none = [pa.nulls(hi - lo, pa.list_(kind)) for kind in (pa.int64(), pa.int32())]
-                        yield pa.record_batch([*rows, zero, zero, pa.array(np.zeros(hi - lo)), pa.array(sums), *none], names=names)
-                        continue
+                    sums = np.zeros(hi - lo)
+                    if sent is not None:
+                        grams, starts = _grams(data, at, lo, hi)
+                        sums = np.add.reduceat(_lookup("model", sent).get(grams.astype(np.int64)).astype(np.float64), starts[:-1])
                     words, sizes = _tokens(data, at, lo, hi)
                     first = np.concatenate([[0], np.cumsum(sizes)])
                     c = common.get(words)
@@ -349,34 +403,41 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                     known = np.add.reduceat((c > 0).astype(np.int64), first[:-1])
                     rare, times = [], []
                     for a, e in zip(first[:-1], first[1:], strict=True):
-                        mine = words[a:e][c[a:e] == 0]
-                        r, t = np.unique(mine, return_counts=True)
+                        r, t = np.unique(words[a:e][c[a:e] == 0], return_counts=True)
                         rare.append(r)
                         times.append(t)
                     lists = [pa.array(x, pa.list_(kind)) for x, kind in ((rare, pa.int64()), (times, pa.int32()))]
+                    rows = [b.column(0)[lo:hi], b.column(2)[lo:hi], b.column(3)[lo:hi]]
                     yield pa.record_batch([*rows, pa.array(sizes), pa.array(known), pa.array(base), pa.array(sums), *lists], names=names)
 
-        schema = "doc_id long, held_out boolean, address long, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>"
-        return docs.select("doc_id", "text", "held_out", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("address")).mapInArrow(run, schema)
+        return run
 
-    parts = [materialize(run_slice(k, sent), "lm-slice") for k, sent in model_slices]
-    first = parts[0]
-    group = ["doc_id", "held_out", "address"]
+    def broadcast(k: int):
+        part = model if parts == 1 else model.where(F.pmod(F.xxhash64("gram"), F.lit(parts)) == k)
+        return spark.sparkContext.broadcast(_gather(part.select("gram", "log10p")))  # SLICE_GRAMS rows or about as many
+
+    sent = broadcast(0) if parts <= MOST_SLICES else None
+    schema = "doc_id long, held_out boolean, address binary, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>"
+    first = materialize(docs.select("doc_id", "text", "held_out", address).mapInArrow(token_scores(sent), schema), "lm-tokens")
+    texts, more = docs.select(address, "text"), []
+    if sent is None:
+        more.append(materialize(_joined_scores(texts, model), "lm-scores"))
+    for k in range(1, parts if sent else 0):
+        sent.unpersist()  # what it gave is written
+        sent = broadcast(k)
+        more.append(materialize(texts.mapInArrow(slice_scores(sent), "address binary, score double"), "lm-slice"))
     rare = first.select("address", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("address", F.col("x.rare").alias("key"), F.col("x.times").alias("times"))
     seldom = tokens.where(F.col("n") * FREQUENT < total)
-    more = rare.join(seldom, "key").groupBy("address").agg(F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("more"), F.sum("times").alias("more_known"), F.count_if(F.lit(False)).alias("none")).drop("none")
-    copies = first.groupBy(*group).agg(F.count("*").alias("copies"), F.max("n_tokens").alias("n_tokens"), F.max("n_known").alias("n_known"), F.max("base").alias("base"), F.max("score").alias("score"))
-    for part in parts[1:]:
-        other = part.groupBy(*group).agg(F.max("score").alias("score"))
-        copies = copies.unionByName(other, allowMissingColumns=True)
-    if len(parts) > 1:
-        copies = copies.groupBy(*group).agg(*(F.max(c).alias(c) for c in ("copies", "n_tokens", "n_known", "base")), F.sum("score").alias("score"))
-    joined = copies.join(more, "address", "left")
-    rows = joined.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"))
-    # the rare tokens' sums are those of all copies of a row
-    bulk = F.coalesce("more", F.lit(0.0)) / F.col("copies")
+    rest = rare.join(seldom, "key").groupBy("address").agg(F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("more"), F.sum("times").alias("more_known"))
+    # of a text's rare tokens there are the sums of all its copies
+    copies = first.groupBy("address").agg(F.count("*").alias("copies"))
+    facts = rest.join(copies, "address").select("address", (F.col("more") / F.col("copies")).alias("more"), (F.col("more_known") / F.col("copies")).cast("long").alias("more_known"))
+    for k, part in enumerate(more):
+        facts = facts.join(part.groupBy("address").agg(F.max("score").alias(f"score{k}")), "address", "full")
+    rows = join_facts(first.withColumn("_row", F.monotonically_increasing_id()), materialize(facts, "lm-facts"), "address", "_row")
     log_all = F.log10(F.lit(float(total) + distinct + 1))
-    return rows.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0)) / F.col("copies")).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + bulk - F.col("n_tokens") * log_all).alias("base_score"), "score")
+    whole = sum((F.col(f"score{k}") for k in range(len(more))), F.col("score"))
+    return rows.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * log_all).alias("base_score"), whole.alias("score"))
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
