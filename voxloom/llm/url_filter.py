@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import UPPER, table
+from ._common import UPPER, join_facts, table
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -74,7 +74,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, path_lengths: list[int], def
     passed = maybe_listed(pairs, "prefix", blocked_bloom(rules.select("prefix"), blocks), blocks)
     listed = rules.select("prefix", F.col("host").alias("domain"), "verdict")
     best = passed.join(listed, ["prefix", "domain"]).groupBy("host", "path").agg(F.max(F.struct(F.length("prefix").alias("n"), "prefix", "verdict")).alias("best"))
-    return base.join(best, ["host", "path"], "left").select("page_id", "url", "host", "path", F.col("best.prefix").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    facts = best.select(F.concat("host", "path").alias("place"), "best")  # a path begins with / or is empty, a host has none
+    rows = join_facts(base.withColumn("place", F.concat("host", "path")), facts, "place", "page_id")
+    return rows.select("page_id", "url", "host", "path", F.col("best.prefix").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
