@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Hashable, Iterator
@@ -27,9 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``); one of our own only where it is unset."""
+    """The folder that driver and executors share (``spark.checkpoint.dir``); one of our own only where it is unset and
+    driver and executors are one process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that executors share")
         base = f"file://{tempfile.mkdtemp(prefix='voxloom-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
