@@ -1,4 +1,13 @@
-"""A training corpus from raw documents: toxicity, line dedup, near-duplicates, benchmark decontamination, packing."""
+"""A training corpus from raw documents: toxicity, line dedup, near-duplicates, benchmark decontamination, packing.
+
+Each stage works on all rows that its predecessor kept, with these defined results. Null texts are empty: they score
+the bias alone, lose no line and come back as empty texts, are one class with other empty texts, hold no benchmark
+passage, and are packed as their end id. A null doc_id is kept; it is never trained on, never the first holder of a
+line while a row with an id holds it, and loses to any doc_id of its class. Repeated rows are scored each, each count as a
+document that holds a line, and are one class, of which one row stays. Ties go to the least doc_id. Very long texts are
+read whole. Columns beyond those of documents are left out. An empty table gives an empty table at each stage; without
+labels nothing is rejected, without a benchmark nothing is contaminated.
+"""
 
 from __future__ import annotations
 
