@@ -1,5 +1,5 @@
 import itertools
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -123,3 +123,23 @@ def test_fractional_weights():
     assert abs((sx == sy).mean() - exact) < 0.12
     whole = op.weighted_regions(names, np.full(300, 2.0))
     assert (op.signatures_of([whole[0]], [whole[1]]) == op.signatures_of([whole[0]])).all()
+
+
+def test_recall_on_the_corpus(spark):
+    """Every text whose id is divisible by 20, against all texts: those at 0.8 or more share its class."""
+    sf = "/root/testdata/sf0.1"
+    class_of = {r.doc_id: r.class_id for r in op.classes(spark.read.parquet(f"{sf}/documents.parquet")).collect()}
+    regions, holders = {}, defaultdict(list)
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        regions[r.doc_id] = op.regions((r.text or "").encode()).tolist()
+        for x in regions[r.doc_id]:
+            holders[x].append(r.doc_id)
+    pairs = 0
+    for query in (i for i in regions if i % 20 == 0):
+        shared = Counter(i for x in regions[query] for i in holders[x])
+        for other, n in shared.items():
+            if other != query and n >= 0.8 * (len(regions[query]) + len(regions[other]) - n):
+                pairs += 1
+                assert class_of[other] == class_of[query]
+    print("pairs at 0.8 or more:", pairs)
+    assert pairs > 200

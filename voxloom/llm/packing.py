@@ -32,7 +32,7 @@ END_ID = 1
 DIMS, BITS = 3, 13
 _TIE = 63 - DIMS * BITS
 #: Ids that a range of the curve should hold, and the most ranges (their sums go to the driver).
-RANGE_IDS, MOST_RANGES = 4_000_000, 4096
+RANGE_IDS, MOST_RANGES = 1_000_000, 16_384
 
 
 def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:

@@ -13,7 +13,7 @@ import re
 
 import numpy as np
 
-from ._common import CACHE_BYTES, held
+from ._common import held
 
 #: What the quick path takes: printable ASCII, \t, \n, \r and precomposed Latin letters whose lower case is one letter.
 _OTHER = re.compile("[^\t\n\r -~À-ÖØ-öø-įı-ſ]")
@@ -21,6 +21,9 @@ _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\\sa-z0-9
 #: A byte that UTF-8 never uses stands for the end of a word.
 _END = b"\xff"
 
+#: Bytes of chunks and ids that a worker keeps; beyond that, new ones are encoded each time.
+CHUNK_BYTES = 80 << 20
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -36,9 +39,9 @@ def _bytes_of_symbols() -> dict[str, int]:
 
 
 class WordBpe(dict):
-    """Maps a lower-cased chunk to its ids as bytes (little-endian uint16); keeps about ``CACHE_BYTES`` of them."""
+    """Maps a lower-cased chunk to its ids as bytes (little-endian uint16); keeps about ``CHUNK_BYTES`` of them."""
 
-    room = CACHE_BYTES
+    room = CHUNK_BYTES
 
     def __init__(self, path: str):
         import tiktoken
