@@ -55,13 +55,14 @@ def let(value: Column, use) -> Column:
 
 
 def edit_distance(a: Column, b: Column) -> Column:
-    """Levenshtein distance of two arrays of strings: each distinct unit becomes one character from U+4E00, surrogates
-    left out. An error beyond the 1,092,096 distinct units a pair that Unicode has room for."""
+    """Levenshtein distance of two arrays of strings: each distinct unit becomes one character, of the first 256 where they
+    are few, else from U+4E00, surrogates left out. An error beyond the 1,092,096 distinct units a pair that Unicode has room for."""
 
     def coded(x: Column) -> Column:
-        as_text = lambda units: F.array_join(F.transform(units, lambda u: code(F.array_position(x["words"], u))), "")
+        distance = lambda code: F.levenshtein(*(F.array_join(F.transform(x[side], lambda u: code(F.array_position(x["words"], u))), "") for side in "ab"))
         too_many = F.raise_error(F.lit("edit_distance: more than 1,092,096 distinct units")).cast("int")
-        return F.when(F.size(x["words"]) > 1_092_096, too_many).otherwise(F.levenshtein(as_text(x["a"]), as_text(x["b"])))
+        few = distance(lambda position: F.char(position + 32))
+        return F.when(F.size(x["words"]) > 1_092_096, too_many).when(F.size(x["words"]) <= 200, few).otherwise(distance(code))
 
     def code(position: Column) -> Column:
         at = position + 19967 + F.when(position > 35328, F.lit(2048)).otherwise(F.lit(0))

@@ -37,8 +37,14 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole texts as samples of at most ``TOKENS`` tokens each, one at least; doc_id and key number them."""
+    """The whole texts as samples of at most ``TOKENS`` tokens each, one at least; doc_id and key number them.
+
+    A table of fewer splits than there are cores is dealt out first; a larger one is not moved.
+    """
     df = samples(spark, sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(4 * cores, "doc_id")
     words = df.withColumn("_w", F.coalesce(F.array_remove(F.split("text", "[ \n]+"), ""), F.expr("cast(array() as array<string>)")))
     firsts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("_w") - 1) / TOKENS).cast("int")))
     rows = words.select("*", F.explode(F.transform(firsts, lambda k: F.struct(k.alias("k"), F.slice("_w", k * TOKENS + 1, TOKENS).alias("w")))).alias("_u"))
