@@ -1,4 +1,7 @@
 import hashlib
+import math
+import random
+from collections import Counter
 from functools import cmp_to_key
 
 from pyspark.sql import functions as F
@@ -39,3 +42,44 @@ def test_order_and_increments(spark):
 
 def test_empty_table(no_docs):
     assert op.fingerprints(no_docs).collect() == []
+
+
+def pieces(text):
+    """Runs of up to five words that end with a sentence or a line."""
+    out = Counter()
+    for line in text.split("\n"):
+        run = []
+        for w in line.split():
+            run.append(w)
+            if len(run) == 5 or w[-1] in ".!?":
+                out[" ".join(run)] += 1
+                run = []
+        if run:
+            out[" ".join(run)] += 1
+    return out
+
+
+def cosine(a, b):
+    x, y = pieces(a), pieces(b)
+    return sum(n * y[k] for k, n in x.items()) / math.sqrt(sum(n * n for n in x.values()) * sum(n * n for n in y.values()))
+
+
+def test_likeness_is_the_cosine_of_pieces(spark):
+    rng = random.Random(3)
+    sentence = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randrange(4, 12))) + "."
+    texts = []
+    for _ in range(40):
+        base = [sentence() for _ in range(40)]
+        share = rng.random()
+        texts += [" ".join(base), " ".join(s if rng.random() < share else sentence() for s in base)]
+    texts += [texts[-1], texts[-1]]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r for r in op.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    off = []
+    for i, text in rows:
+        after = texts[i - 1]  # descending ids; the first follows the last
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        off += [abs(got[i].near_next - cosine(text, after)), abs(got[i].near_edited - cosine(text, edited))]
+    assert got[81].near_next == got[80].near_next == 1.0
+    assert sum(off) / len(off) < 0.1 and max(off) < 0.4

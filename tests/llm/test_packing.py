@@ -55,3 +55,20 @@ def test_empty_table_and_hilbert(no_docs):
     assert sorted(order) == list(range(512))
     along = points[np.argsort(order)]
     assert (np.abs(np.diff(along, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_neighbours_on_the_curve_share_sequences(spark, monkeypatch):
+    import random
+
+    rng = random.Random(12)
+    topics = [[f"{w}{t}" for w in ("river", "stone", "cloud", "metal", "paper")] for t in range(8)]
+    rows = [(k, " ".join(rng.choices(topics[k % 8], k=60))) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(op, "RANGE_IDS", 5000)
+    placed = op.pack(df).select("sequence_id", "offset", "doc_id").orderBy("sequence_id", "offset").collect()
+    order = list(dict.fromkeys(r.doc_id % 8 for r in placed)), [r.doc_id for r in placed]
+    same = sum(a % 8 == b % 8 for a, b in zip(order[1], order[1][1:], strict=False)) / (len(order[1]) - 1)
+    assert len(order[0]) == 8 and same > 0.3  # one in eight by chance
+    keys = {r.doc_id: r.key for r in op.tokenized(df).collect()}
+    along = [keys[i] for i in dict.fromkeys(order[1])]
+    assert along == sorted(along)
