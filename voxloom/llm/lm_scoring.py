@@ -235,25 +235,34 @@ def _predict(grams: np.ndarray, n: np.ndarray, top: dict[str, np.ndarray]) -> np
     return total
 
 
+def _nearest(key: np.ndarray) -> np.ndarray:
+    """The three nearest context bytes of grams."""
+    return (key >> (8 * (DEPTH - 3))) & 0xFFFFFF
+
+
 def _subtrees(batches):
-    """The (grams, n) of a partition in sets of about ``TREE_GRAMS``, each with all grams of its contexts of three bytes."""
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-    if not sum(len(k) for k, _ in parts):
-        return
-    key, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    context = (key >> (8 * (DEPTH - 3))) & 0xFFFFFF
-    order = np.argsort(context, kind="stable")
-    key, n, context = key[order], n[order], context[order]
-    starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-    ends = np.append(starts, len(key))
-    for lo, hi in slices(ends, TREE_GRAMS):
-        yield key[ends[lo] : ends[hi]], n[ends[lo] : ends[hi]]
+    """The (grams, n) of batches that are sorted by three nearest context bytes, in sets of about ``TREE_GRAMS``, each with
+    all grams of its contexts. A context has 2 ** 24 grams at most, so a task holds no more, however large its partition."""
+    parts, size, wanted = [], 0, TREE_GRAMS
+    for b in batches:
+        parts.append((b.column(0).to_numpy(), b.column(1).to_numpy()))
+        size += b.num_rows
+        if size < wanted:
+            continue
+        key, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        last = int(np.searchsorted(near := _nearest(key), near[-1]))  # its context may go on
+        if last:
+            yield key[:last], n[:last]
+        parts, size = [(key[last:].copy(), n[last:].copy())], len(key) - last
+        wanted = max(TREE_GRAMS, 2 * size)
+    if size:
+        yield tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def predictions(grams: DataFrame) -> DataFrame:
     """(gram, log10p) of (key, n) rows: the mixed prediction of each gram's last byte. Written once."""
     nearest = F.shiftrightunsigned("key", 8 * (DEPTH - 3)).bitwiseAND(F.lit(0xFFFFFF))
-    dealt = grams.select("key", "n", nearest.alias("_near")).repartition("_near").select("key", "n")
+    dealt = grams.select("key", "n", nearest.alias("_near")).repartition("_near").sortWithinPartitions("_near").select("key", "n")
 
     def tops(batches):
         for key, n in _subtrees(batches):
