@@ -64,12 +64,12 @@ def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
 
 def _points_of_ids(n: int = 1 << 16) -> np.ndarray:
     h = mix64(np.arange(1, n * DIMS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(n, DIMS)
-    return (h >> np.uint64(40)).astype(np.float32) / np.float32(1 << 23) - np.float32(1)
+    return np.asfortranarray((h >> np.uint64(40)).astype(np.float32) / np.float32(1 << 23) - np.float32(1))
 
 
 def curve_key(ids: np.ndarray, points: np.ndarray) -> np.ndarray:
     """Integer coordinates of one document's hashed vector."""
-    at = points[ids].sum(axis=0, dtype=np.float64) / max(1.0, len(ids)) ** 0.5 if len(ids) else np.zeros(DIMS)
+    at = np.array([axis[ids].sum(dtype=np.float64) for axis in points.T]) / max(1.0, len(ids)) ** 0.5  # exact sums of multiples of 2 ** -23
     return np.clip((np.arctan(at / 2) / np.pi + 0.5) * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
 
 
