@@ -62,7 +62,7 @@ class WordBpe(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         ids = array.array("H")
-        for word in _WORDS.findall(chunk):
+        for word in (chunk,) if chunk.isalpha() else _WORDS.findall(chunk):
             ids.extend(self._piece(word.encode() + _END))
         out = ids.tobytes()
         if self.room > 0:
