@@ -1,10 +1,13 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from voxloom.functions import text as tx
 from voxloom.operators import packs, pairing, stages
 from voxloom.operators import reject as rj
+from voxloom.plans import config
 
 ALIGNMENT = "array<struct<text:string,start:double,end:double>>"
 
@@ -55,6 +58,20 @@ def test_transcripts(spark):
     assert math.isinf(codes(df)[2][2])
 
 
+def test_readings_of_homophones(spark, tmp_path):
+    rows = [(1, "他在家", ("她再家", "zh")), (2, "他在家", ("他不家", "zh")), (3, "他3年", ("她三年", "zh")), (4, "he 在", ("he 再", "zh"))]
+    df = frame(spark, rows, "k int, text string, transcript struct<text:string,language:string>")
+    path = tmp_path / "readings.tsv"
+    path.write_text("他\tta\n她\tta\n在\tzai\n再\tzai\n在\tother\n不\tbu\n", encoding="utf-8")
+    judged = stages.transcript_filter(df, 0.1, readings=tx.load_readings(str(path)))
+    assert {r.k: (r.reject_code, r.asr.wer, r.asr.char_wer) for r in judged.collect()} == {1: (None, 0.0, 0.6667), 2: ("wer", 0.3333, 0.3333), 3: (None, 0.0, 0.6667), 4: (None, 0.0, 0.5)}
+    by_config = config.build_steps(config.Settings({"asr": {"enabled": True, "readings": str(path)}}))
+    assert {r.k for r in config.run_steps(df.withColumn("language", F.lit("zh")), by_config).where("reject_code is null").collect()} == {1, 3, 4}
+    path.write_text("他ta\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="not a character"):
+        tx.load_readings(str(path))
+
+
 def spec_pause(items, dur):
     if not items:
         return "pause_no_alignment"

@@ -82,11 +82,11 @@ def error_rate(reference: Column, hypothesis: Column) -> Column:
     return let(F.struct(reference.alias("a"), hypothesis.alias("b")), rate)
 
 
-def compute_wer(reference: Column, hypothesis: Column, phonetic: bool = False, compatible: bool = False) -> Column:
+def compute_wer(reference: Column, hypothesis: Column, phonetic: bool = False, compatible: bool = False, readings: dict[str, str] | None = None) -> Column:
     if phonetic:
         reference, hypothesis = numbers_to_chinese(F.coalesce(reference, F.lit(""))), numbers_to_chinese(F.coalesce(hypothesis, F.lit("")))
     units = [to_units(t, compatible) for t in (reference, hypothesis)]
-    return error_rate(*(to_pinyin(u) for u in units)) if phonetic else error_rate(*units)
+    return error_rate(*(to_pinyin(u, readings) for u in units)) if phonetic else error_rate(*units)
 
 
 def language_name(code: Column) -> Column:
@@ -148,14 +148,36 @@ def numbers_to_chinese(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def to_pinyin(units: pd.Series) -> pd.Series:
-    """Toneless pinyin of CJK units where the package pypinyin is installed; without it units stay as they are."""
-    try:
-        from pypinyin import lazy_pinyin
-    except ImportError:
-        return units
-    return units.map(lambda u: ["".join(lazy_pinyin(x)) for x in u])
+def load_readings(path: str) -> dict[str, str]:
+    """Characters and their toneless readings from a file of lines ``character<TAB>reading``; the first of several counts.
+
+    There are no more of them than Unicode has characters, so they go to every worker with its task.
+    """
+    out: dict[str, str] = {}
+    with open(path, encoding="utf-8") as f:
+        for line in f:
+            character, tab, reading = line.rstrip("\n").partition("\t")
+            if not tab or len(character) != 1:
+                raise ValueError(f"{path}: not a character, a tab and its reading: {line!r}")
+            out.setdefault(character, reading)
+    return out
+
+
+def to_pinyin(units: Column, readings: dict[str, str] | None = None) -> Column:
+    """Toneless readings of CJK units: those of ``readings`` if given, else of the package pypinyin where it is installed.
+    Units without a reading stay as they are."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def read(units: pd.Series) -> pd.Series:
+        if readings is not None:
+            return units.map(lambda u: [readings.get(x, x) for x in u])
+        try:
+            from pypinyin import lazy_pinyin
+        except ImportError:
+            return units
+        return units.map(lambda u: ["".join(lazy_pinyin(x)) for x in u])
+
+    return read(units)
 
 
 def needs_rewrite(text: Column) -> Column:

@@ -69,11 +69,12 @@ def build_steps(settings: Settings, backends: dict | None = None) -> list[Step]:
     if s := settings.section("diarization"):
         out.append(Step("multi_speaker", lambda df, s=s: stages.speaker_filter(model(df, "segments", ["audio"], s.get("batch_size", 16)), s.get("max_speakers", 1), s.get("min_speaker_sec", 0.5))))
     if s := settings.section("asr"):
+        readings = tx.load_readings(s["readings"]) if s.get("readings") else None
 
         def asr(df, s=s):
             df = df.withColumns({"asr_context": F.lit(s.get("context", "")), "asr_language": tx.language_name(F.col("language"))})
             df = model(df, "transcript", ["audio", "asr_language", "asr_context"], s.get("batch_size", 16)).drop("asr_context", "asr_language")
-            return stages.transcript_filter(df, s.get("max_wer", 0.1), s.get("phonetic", True), s.get("adopt_text", True), s.get("text_source", "qwen3-asr"))
+            return stages.transcript_filter(df, s.get("max_wer", 0.1), s.get("phonetic", True), s.get("adopt_text", True), s.get("text_source", "qwen3-asr"), readings=readings)
 
         out.append(Step("asr_wer", asr))
     if s := settings.section("tn"):
