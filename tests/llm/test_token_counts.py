@@ -1,3 +1,6 @@
+import random
+from array import array
+
 from tokenizers import Tokenizer
 
 from voxloom.llm import token_counts as op
@@ -16,6 +19,17 @@ def test_counts_equal_the_tokenizer_with_blocks_of_any_size(docs, clash):
         assert sorted((str(r.doc_id), r.n_tokens) for r in op.token_counts(df, block_tokens=block).collect()) == want
 
 
+def test_ids_of_chunks_are_those_of_the_text():
+    bpe, rng = wordbpe.WordBpe(wordbpe.default_path()), random.Random(5)
+    parts = [*"abcXYZ'’“”é ÀŸÿ İıſß \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2009\u3000\u200b\u0301\u0308각한日本Жд٣½²😀<|>09.-_\0\x7fǅΣς\ufeff", "'s", "'RE", "<|endoftext|>", "e\u0301", "hello", "World"]
+    texts = ["", " ", *("".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(3000))]
+    want = [array("H", bpe.whole.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+    assert [bpe.ids(t) for t in texts] == want
+    bpe.clear()
+    bpe.room = 0  # nothing is kept
+    assert [bpe.ids(t) for t in texts[:500]] == want[:500] and not bpe
+
+
 def test_empty_table(no_docs):
     assert op.token_counts(no_docs).collect() == []
 

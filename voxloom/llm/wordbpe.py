@@ -1,8 +1,9 @@
 """Token ids of the word-end BPE tokenizer, through a cache of whitespace-separated chunks.
 
-The vocabulary's splits never cross white space, so a text's ids are those of its chunks, one after the other.
-Chunks of plain Latin text are encoded by a byte-level BPE built from the same vocabulary (word ends become one
-terminating byte); any text with other characters goes to the tokenizer itself, whole.
+The vocabulary's splits never cross white space, nor does its normalisation, so a text's ids are those of its chunks,
+one after the other. Chunks of plain Latin text are encoded by a byte-level BPE built from the same vocabulary (word
+ends become one terminating byte); a chunk with other characters goes to the tokenizer itself. A text that has such
+characters is cut at ASCII white space alone, which all of Unicode's notions of white space agree on.
 """
 
 from __future__ import annotations
@@ -11,18 +12,17 @@ import array
 import json
 import re
 
-import numpy as np
-
 from ._common import held
 
 #: What the quick path takes: printable ASCII, \t, \n, \r and precomposed Latin letters whose lower case is one letter.
 _OTHER = re.compile("[^\t\n\r -~À-ÖØ-öø-įı-ſ]")
+_CUT = re.compile("[\t\n\r ]+")
 _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\\sa-z0-9ß-öø-ſ]+")
 #: A byte that UTF-8 never uses stands for the end of a word.
 _END = b"\xff"
 
-#: Bytes of chunks and ids that a worker keeps; beyond that, new ones are encoded each time.
-CHUNK_BYTES = 80 << 20
+#: Bytes of chunks and ids that a worker keeps, and the longest chunk that it does; others are encoded each time.
+CHUNK_BYTES, KEPT_CHARS = 80 << 20, 64
 
 
 def default_path() -> str:
@@ -39,7 +39,8 @@ def _bytes_of_symbols() -> dict[str, int]:
 
 
 class WordBpe(dict):
-    """Maps a lower-cased chunk to its ids as bytes (little-endian uint16); keeps about ``CHUNK_BYTES`` of them."""
+    """Maps a chunk, lower-cased if it is plain Latin text, to its ids as bytes (little-endian uint16); keeps about
+    ``CHUNK_BYTES`` of them."""
 
     room = CHUNK_BYTES
 
@@ -61,11 +62,14 @@ class WordBpe(dict):
         self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = array.array("H")
-        for word in (chunk,) if chunk.isalpha() else _WORDS.findall(chunk):
-            ids.extend(self._piece(word.encode() + _END))
+        if _OTHER.search(chunk):
+            ids = array.array("H", self.whole.encode(chunk, add_special_tokens=False).ids)
+        else:
+            ids = array.array("H")
+            for word in (chunk,) if chunk.isalpha() else _WORDS.findall(chunk):
+                ids.extend(self._piece(word.encode() + _END))
         out = ids.tobytes()
-        if self.room > 0:
+        if self.room > 0 and len(chunk) <= KEPT_CHARS:
             self.room -= len(chunk) + len(out) + 180
             self[chunk] = out
         return out
@@ -73,7 +77,7 @@ class WordBpe(dict):
     def ids(self, text: str) -> bytes:
         """All ids of a text, as little-endian uint16."""
         if _OTHER.search(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+            return b"".join(self[c if _OTHER.search(c) else c.lower()] for c in _CUT.split(text))
         return b"".join(map(self.__getitem__, text.lower().split()))
 
 
