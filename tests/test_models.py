@@ -98,3 +98,15 @@ def test_default_error_rate_of_cjk_rows(spark):
     df = spark.createDataFrame(cases, "a string, b string")
     got = [r.w for r in df.select(tx.compute_wer(tx.F.col("a"), tx.F.col("b"), True).alias("w")).collect()]
     assert got[:3] == [0.0, 0.0, 0.0] and abs(got[3] - 1 / 3) < 1e-9 and got[4] == 0.0 and got[6] == 0.0
+
+
+def test_memory_of_devices(spark, monkeypatch):
+    import sys
+    from types import SimpleNamespace
+
+    cuda = SimpleNamespace(device_count=lambda: 2, max_memory_allocated=lambda k: 10 + k, max_memory_reserved=lambda k: 20 + k)
+    monkeypatch.setitem(sys.modules, "torch", SimpleNamespace(cuda=cuda))
+    assert models._device_peaks() == [(0, 10, 20), (1, 11, 21)]
+    cuda.device_count = lambda: 1 // 0
+    assert models._device_peaks() == []
+    assert models.device_memory(spark).collect() == []  # the workers have no such package

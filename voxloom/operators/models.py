@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -146,3 +146,28 @@ def annotate(df: DataFrame, kind: str, factory: Callable[[], Callable[[list[dict
 def timed_rows(df: DataFrame, audio_seconds: str = "duration") -> DataFrame:
     """(stage, seconds, items, audio_seconds) of each row and kind that took time, for ``reject.throughput``."""
     return df.select(F.explode("timing").alias("stage", "seconds"), F.lit(1).alias("items"), F.coalesce(F.col(audio_seconds), F.lit(0.0)).alias("audio_seconds"))
+
+
+def _device_peaks() -> list[tuple[int, int, int]]:
+    """(device, allocated, reserved): the most bytes that this process held on each GPU; none if that cannot be told."""
+    try:
+        import torch
+
+        return [(k, int(torch.cuda.max_memory_allocated(k)), int(torch.cuda.max_memory_reserved(k))) for k in range(torch.cuda.device_count())]
+    except Exception:  # noqa: BLE001  a report must not end a run
+        return []
+
+
+def device_memory(spark: SparkSession) -> DataFrame:
+    """(device, allocated, reserved): the most bytes that one worker process held on a GPU, as far as the tasks of a small
+    job meet the workers that ran the models. No rows without GPUs."""
+
+    def run(batches):
+        for _ in batches:
+            pass
+        rows = _device_peaks()
+        yield pa.record_batch([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], names=["device", "allocated", "reserved"])
+
+    tasks = spark.sparkContext.defaultParallelism
+    found = spark.range(0, tasks, 1, tasks).mapInArrow(run, "device long, allocated long, reserved long")
+    return found.groupBy("device").agg(F.max("allocated").alias("allocated"), F.max("reserved").alias("reserved"))

@@ -11,7 +11,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.audio import with_durations
-from ..operators.models import timed_rows
+from ..operators.models import device_memory, timed_rows
 from ..operators.pairing import assign_workers
 from ..operators.reject import counters, render_counters, throughput, with_rejects
 from ..sources import archives, sinks
@@ -73,6 +73,9 @@ def run_shards(spark: SparkSession, path: str, folder: str, settings: Settings,
                     failed[one] = alone
     said = render_counters(dict(total))
     log.info("done. totals: %s", said)
+    if backends:
+        for r in device_memory(spark).orderBy("device").collect():  # a row a GPU of one machine
+            log.info("gpu %d peak memory: allocated %.1f GB / reserved %.1f GB", r.device, r.allocated / 2**30, r.reserved / 2**30)
     if failed:
         raise RuntimeError(f"{len(failed)} of {len(left)} shards failed: {', '.join(sorted(failed))}; {said}") from next(iter(failed.values()))
     return said
