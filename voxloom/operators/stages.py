@@ -93,11 +93,13 @@ def alignment_filter(df: DataFrame) -> DataFrame:
     return reject(df.withColumn("alignment", times), "align", [(F.col("alignment").isNull(), "align_failed", F.lit(None))])
 
 
-def trim_plan(df: DataFrame, head: float = 0.1, tail: float = 0.3) -> DataFrame:
-    """Adds ``_trim`` (cut_start, cut_end, pad_head, pad_tail, exact) for rows whose edges are off by more than the tolerance."""
+def trim_plan(df: DataFrame, head: float = 0.1, tail: float = 0.3, wordless: bool = False) -> DataFrame:
+    """Adds ``_trim`` (cut_start, cut_end, pad_head, pad_tail, exact) for rows whose edges are off by more than the tolerance.
+    wordless: rows whose alignment is empty are planned too; nothing is cut off and the tail's silence follows the whole."""
     d, items = F.col("audio_duration"), F.col("alignment")
-    begin, end = F.get(items, F.lit(0))["start"], F.least(F.element_at(items, -1)["end"], d)
-    usable = alive() & (F.size(items) > 0)
+    # without words both are null, which greatest and least pass over
+    begin, end = F.get(items, F.lit(0))["start"], F.least(F.try_element_at(items, F.lit(-1))["end"], d)
+    usable = alive() & (F.size(items) >= (0 if wordless else 1))
     df = df.withColumn("_edge", F.when(usable, F.struct(begin.alias("s"), end.alias("e"), F.greatest(F.lit(0.0), begin - head).alias("cs"), F.least(d, end + tail).alias("ce"))))
     e = F.col("_edge")
     pads = F.struct(e["cs"].alias("cut_start"), e["ce"].alias("cut_end"), F.greatest(F.lit(0.0), F.lit(head) - (e["s"] - e["cs"])).alias("pad_head"), F.greatest(F.lit(0.0), F.lit(tail) - (e["ce"] - e["e"])).alias("pad_tail"))
