@@ -19,6 +19,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..schema import SAMPLE
 
+#: Rows of a batch that a scan hands on, or fewer that hold so many bytes.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 AUDIO = ("mp3", "wav", "flac")
 # What written metadata calls the source of each layout.
 SOURCES = {"json_audio": "emilia", "txt_wav": "wenetspeech4tts"}
@@ -40,7 +42,8 @@ def shard_name(path: str) -> str:
 
 
 def _files(archive: tarfile.TarFile) -> Iterator[tuple[tarfile.TarInfo, str, str]]:
-    for member in archive:
+    while (member := archive.next()) is not None:
+        archive.members.clear()  # else the archive keeps every member that it has read
         if member.isfile():
             name = PurePosixPath(member.name)
             yield member, name.stem, name.suffix.lower().lstrip(".")
@@ -88,7 +91,20 @@ def _txt_wav(archive: tarfile.TarFile, counters: dict) -> Iterator[dict]:
 
 register_layout("json_audio", _json_audio)
 register_layout("txt_wav", _txt_wav)
-_SAMPLE_FIELDS = [f.split()[0] for f in SAMPLE.split(", ")]
+_SAMPLE_FIELDS = dict(f.split() for f in SAMPLE.split(", "))
+
+
+def _as_text(value) -> str | None:
+    return value if value is None or isinstance(value, str) else str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def _sample_batch(rows: list[dict]):
+    """Rows as an Arrow batch of the sample schema; what is no text in a string column is written as Spark does."""
+    import pyarrow as pa
+
+    kinds = {"string": pa.string(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    columns = [pa.array([_as_text(r.get(f)) if kind == "string" else r.get(f) for r in rows], kinds[kind]) for f, kind in _SAMPLE_FIELDS.items()]
+    return pa.record_batch(columns, names=list(_SAMPLE_FIELDS))
 
 
 class _Shard(InputPartition):
@@ -115,10 +131,17 @@ class _Reader(DataSourceReader):
 
     def samples(self, archive, path):
         limit, shard = int(self.options.get("limit", "0") or 0), shard_name(path)
+        rows, held = [], 0
         for k, row in enumerate(self.layout(archive, {})):
-            yield tuple({"shard": shard, "ord": k}.get(f, row.get(f)) for f in _SAMPLE_FIELDS)
+            rows.append({**row, "shard": shard, "ord": k})
+            held += sum(len(v) for v in row.values() if isinstance(v, bytes | str))
+            if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
+                yield _sample_batch(rows)
+                rows, held = [], 0
             if limit and k + 1 >= limit:
-                return
+                break
+        if rows:
+            yield _sample_batch(rows)
 
     def index(self, archive, path):
         packed = path.endswith("gz")

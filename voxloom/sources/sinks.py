@@ -95,6 +95,7 @@ class _ShardWriter(DataSourceWriter):
                     info = tarfile.TarInfo(name)
                     info.size = len(data)
                     out.addfile(info, io.BytesIO(data))
+                    out.members.clear()  # else the archive keeps every member that it has written
             else:
                 reason = render_reason(row["reject_code"], row["reject_value"], self.thresholds)
                 out.write(json.dumps({"key": row["key"], "stage": row["reject_stage"], "reason": reason, "meta": metadata(row)}, ensure_ascii=False) + "\n")
