@@ -60,3 +60,26 @@ def test_recordings_are_as_encoded(spark):
     assert "Python" not in rows._jdf.queryExecution().toString()
     for r in rows.collect():
         assert bytes(r.audio) == audio.encode_wav(np.full((1600 + r.doc_id % 1000, 1), r.doc_id % 100 / 100, np.float32), 16_000)
+
+
+def test_new_audio_is_handed_on_in_pieces(monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    class Frame:
+        schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("audio", T.BinaryType()), T.StructField("ext", T.StringType()), T.StructField("_trim", T.StringType())])
+
+        def mapInArrow(self, run, _):
+            return run
+
+    monkeypatch.setattr(audio, "NEW_BYTES", 1000, raising=False)
+    wav = audio.encode_wav(np.full((160, 1), 0.5, np.float32), 16_000)
+    plan = {"cut_start": 0.0, "cut_end": 0.005, "pad_head": 0.0, "pad_tail": 0.0}
+    plans, sounds = [plan, None, plan, plan] * 5, [wav, wav, None, b"RIFFx"] * 5
+    b = pa.record_batch([pa.array(map(str, range(20))), pa.array(sounds, pa.binary()), pa.array(["wav"] * 20), pa.array(plans)], names=["key", "audio", "ext", "_trim"])
+    out = list(audio.with_trimmed(Frame())(iter([b])))
+    assert len(out) > 2 and max(x.num_rows for x in out) < 15
+    rows = [r for x in out for r in x.to_pylist()]
+    assert [r["key"] for r in rows] == [str(k) for k in range(20)]
+    assert [r["new_duration"] for r in rows] == [0.005, None, None, None] * 5
+    assert [r["trim_error"] for r in rows] == [None, None, "TypeError", "EOFError"] * 5 and rows[1]["audio"] == wav
