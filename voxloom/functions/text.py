@@ -82,6 +82,18 @@ def error_rate(reference: Column, hypothesis: Column) -> Column:
     return let(F.struct(reference.alias("a"), hypothesis.alias("b")), rate)
 
 
+def unit_errors(reference: Column, hypothesis: Column, compatible: bool = False) -> Column:
+    """struct<errors, units, heard>: unit errors, and the units of either text, each worked out once."""
+    sized = lambda x: F.struct(edit_distance(x["a"], x["b"]).alias("errors"), F.size(x["a"]).alias("units"), F.size(x["b"]).alias("heard"))
+    return let(F.struct(to_units(reference, compatible).alias("a"), to_units(hypothesis, compatible).alias("b")), sized)
+
+
+def counted_rate(counts: Column) -> Column:
+    """``error_rate`` from what ``unit_errors`` gives; null for null."""
+    rate = F.when(counts["units"] == 0, F.lit(float("inf"))).when(counts["heard"] == 0, F.lit(1.0)).otherwise(counts["errors"] / F.nullif(counts["units"], F.lit(0)))
+    return F.when(counts.isNotNull(), rate)
+
+
 def compute_wer(reference: Column, hypothesis: Column, phonetic: bool = False, compatible: bool = False, readings: dict[str, str] | None = None) -> Column:
     if phonetic:
         reference, hypothesis = numbers_to_chinese(F.coalesce(reference, F.lit(""))), numbers_to_chinese(F.coalesce(hypothesis, F.lit("")))

@@ -63,18 +63,18 @@ def speaker_filter(df: DataFrame, max_speakers: int = 1, min_speaker_sec: float
     return reject(df, "multi_speaker", [(n > max_speakers, "multi_speaker", n)]).drop("_active")
 
 
-def transcript_filter(df: DataFrame, max_wer: float = 0.1, phonetic: bool = True, adopt_text: bool = True, source: str = "second-transcript", compatible: bool = False, readings: dict[str, str] | None = None) -> DataFrame:
+def transcript_filter(df: DataFrame, max_wer: float = 0.1, phonetic: bool = True, adopt_text: bool = True, source: str = "second-transcript", compatible: bool = False, readings: dict[str, str] | None = None, counts: str | None = None) -> DataFrame:
     """Judges ``transcript`` (struct<text, language>) against ``text`` by unit errors; adopts it if it passes and is not blank.
-    phonetic: units are compared by their readings (``text.to_pinyin``)."""
-    heard = F.coalesce("transcript.text", F.lit(""))
-    plain = tx.compute_wer(F.col("text"), heard, False, compatible)
-    df = df.withColumn("_char", F.when(alive(), plain))
+    phonetic: units are compared by their readings (``text.to_pinyin``). counts: a column to keep the plain ``text.unit_errors`` in."""
+    heard, counted = F.coalesce("transcript.text", F.lit("")), counts or "_counts"
+    df = df.withColumn(counted, F.when(alive(), tx.unit_errors(F.col("text"), heard, compatible)))
+    df = df.withColumn("_char", tx.counted_rate(F.col(counted)))
     df = df.withColumn("_wer", F.when(alive(), tx.compute_wer(F.col("text"), heard, True, readings=readings)) if phonetic else F.col("_char"))
     stored = lambda c: F.when(F.col(c) != float("inf"), F.round(c, 4))
     asr = F.struct(F.col("transcript.text").alias("text"), F.col("transcript.language").alias("language"), stored("_wer").alias("wer"), stored("_char").alias("char_wer"))
     df = reject(df.withColumn("asr", F.when(alive(), asr)), "asr_wer", [(F.col("_wer") > max_wer, "wer", F.col("_wer"))])
     adopt = alive() & ~tx.is_blank(F.col("transcript.text")) & F.lit(adopt_text)
-    return df.withColumns({"orig_text": F.when(adopt, F.col("text")), "text_source": F.when(adopt, source), "text": F.when(adopt, F.col("transcript.text")).otherwise(F.col("text"))}).drop("_char", "_wer")
+    return df.withColumns({"orig_text": F.when(adopt, F.col("text")), "text_source": F.when(adopt, source), "text": F.when(adopt, F.col("transcript.text")).otherwise(F.col("text"))}).drop("_char", "_wer", "_counts")
 
 
 def text_rewrite(df: DataFrame) -> DataFrame:
