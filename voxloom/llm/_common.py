@@ -8,6 +8,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
@@ -48,6 +49,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(nullable).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 2 * TEXT_BYTES) -> Iterator[None]:
+    """What is run inside goes to Python in Arrow batches of about ``most`` bytes (Spark: 64 MB, held by both sides)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else; texts of ASCII alone take the quicker built-in."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
@@ -89,15 +102,20 @@ def by_bytes(batches, column: int, most: int = TEXT_BYTES) -> Iterator[pa.Record
 _HELD: dict[Hashable, Any] = {}
 
 
+def release() -> None:
+    """Drops what ``held`` holds and returns the worker's free memory."""
+    _HELD.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def held(name: Hashable, make: Callable[[], Any]) -> Any:
     """What ``make`` gives, made once a worker process. A worker, which Spark uses again for other stages, holds one such
     object (a cache, a tokenizer) at a time: asking for another name drops the last one and returns its memory."""
     if name not in _HELD:
-        _HELD.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-            libc.malloc_trim(0)
+        release()
         _HELD[name] = make()
     return _HELD[name]
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import by_bytes, fresh, join_facts, materialize, mix64, slices, table, utf8, word_hashes
+from ._common import by_bytes, fresh, join_facts, materialize, mix64, release, slices, small_batches, table, utf8, word_hashes
 from .url_filter import blocked_bloom, maybe_listed
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -41,10 +41,10 @@ COORDINATES = BANDS * ROWS
 ALL_PAIRS = 8
 #: Texts, and shingles, of each side that are compared at once among those of crowded buckets.
 BLOCK, BLOCK_SHINGLES = 512, 400_000
-#: Regions whose darts a worker throws at once.
-REGIONS_AT_ONCE = 100_000
 #: Mean number of darts that a document should look at before it looks for more.
 DARTS = COORDINATES * (np.log(COORDINATES) + 2)
+#: Regions, and ``DARTS`` for each of their documents, that a worker looks at at once (20 to 30 MB).
+AT_ONCE = 300_000
 #: The ends of the first tiles of the time axis; after them each tile is as long as all before it.
 _ENDS = (2.0**-8, 2.0**-6, 2.0**-4, 2.0**-2, 2.0**-1, 1.0)
 #: Rows of 256 bits of the Bloom filters that keep rows without a partner from being moved.
@@ -128,35 +128,46 @@ def bands_of(sig: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def bands_by_slices(regions_of: list[np.ndarray]) -> np.ndarray:
+    """The bands of each document, a few documents at a time: short ones look at many more darts than they have regions."""
+    ends = np.concatenate([[0], np.cumsum([len(r) + DARTS for r in regions_of])]).astype(np.int64)
+    bands = [bands_of(signatures_of(regions_of[lo:hi])) for lo, hi in slices(ends, AT_ONCE)]
+    return np.concatenate(bands) if bands else np.zeros((0, BANDS), np.int64)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, bands, shingles, size): text_key is the text's MD5; shingles are distinct 32-bit names of the
     regions, ``size`` of them. The last three are null without words and where the task has signed the text before. Written once."""
 
+    def sign(b: pa.RecordBatch, signed: set[bytes]) -> pa.RecordBatch:
+        data, at = utf8(b.column(1))
+        whole = data.tobytes()
+        texts = [whole[lo:hi] for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        keys = [hashlib.md5(t).digest() for t in texts]
+        found: dict[int, np.ndarray] = {}
+        for row, key in enumerate(keys):
+            if key not in signed:
+                if len(names := regions(texts[row])):
+                    found[row] = names
+                if len(signed) < REMEMBERED:
+                    signed.add(key)
+        bands, shingles = [None] * len(keys), [None] * len(keys)
+        for row, mine in zip(found, bands_by_slices(list(found.values())), strict=True):
+            bands[row], shingles[row] = mine, np.unique(found[row].astype(np.uint32)).view(np.int32)
+        kinds = pa.list_(pa.int64()), pa.list_(pa.int32())
+        size = pa.array([None if x is None else len(x) for x in shingles], pa.int32())
+        return pa.record_batch([b.column(0), pa.array(keys, pa.binary()), pa.array(bands, kinds[0]), pa.array(shingles, kinds[1]), size], names=["doc_id", "text_key", "bands", "shingles", "size"])
+
     def run(batches):
         signed: set[bytes] = set()
         for b in by_bytes(batches, 1):
-            data, at = utf8(b.column(1))
-            whole = data.tobytes()
-            texts = [whole[lo:hi] for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            keys = [hashlib.md5(t).digest() for t in texts]
-            found: dict[int, np.ndarray] = {}
-            for row, key in enumerate(keys):
-                if key not in signed:
-                    if len(names := regions(texts[row])):
-                        found[row] = names
-                    if len(signed) < REMEMBERED:
-                        signed.add(key)
-            rows, bands, shingles = list(found), [None] * len(keys), [None] * len(keys)
-            ends = np.concatenate([[0], np.cumsum([len(found[k]) for k in rows])]).astype(np.int64)
-            for lo, hi in slices(ends, REGIONS_AT_ONCE):
-                for row, mine in zip(rows[lo:hi], bands_of(signatures_of([found[k] for k in rows[lo:hi]])), strict=True):
-                    bands[row], shingles[row] = mine, np.unique(found[row].astype(np.uint32)).view(np.int32)
-            kinds = pa.list_(pa.int64()), pa.list_(pa.int32())
-            size = pa.array([None if x is None else len(x) for x in shingles], pa.int32())
-            yield pa.record_batch([b.column(0), pa.array(keys, pa.binary()), pa.array(bands, kinds[0]), pa.array(shingles, kinds[1]), size], names=["doc_id", "text_key", "bands", "shingles", "size"])
+            yield sign(b, signed)
+        del signed
+        release()  # the worker stays for the stages that follow, which need no hashes of words
 
     schema = "doc_id long, text_key binary, bands array<long>, shingles array<int>, size int"
-    return materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema), "signatures")
+    with small_batches(docs.sparkSession):
+        return materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema), "signatures")
 
 
 def shingles_of(keys: DataFrame, signed: DataFrame) -> DataFrame:
